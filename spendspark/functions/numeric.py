@@ -35,16 +35,22 @@ def percent_change_or(value: Column, reference: Column, fallback: Column) -> Col
     )
 
 
+def half_even(value: Column, places: int) -> Column:
+    """Round half to even; a small negative value becomes -0.0, as in floating-point rounding."""
+    rounded = F.bround(value, places)
+    return F.when((value < 0) & (rounded == 0), -0.0).otherwise(rounded)
+
+
 def money_round(value: Column) -> Column:
-    return F.bround(value, 0)
+    return half_even(value, 0)
 
 
 def percent_round(value: Column) -> Column:
-    return F.bround(value, 1)
+    return half_even(value, 1)
 
 
 def score_round(value: Column) -> Column:
-    return F.bround(value, 4)
+    return half_even(value, 4)
 
 
 def array_sum(values: Column) -> Column:

@@ -25,7 +25,7 @@ def present(text: Column) -> Column:
 
 def parse_date(text: Column) -> Column:
     """Calendar day of a date or timestamp text; missing gives null, other text raises."""
-    return F.to_date(present(text))
+    return F.to_date(F.nullif(present(text), F.lit("NaT")))
 
 
 def parse_amount(text: Column) -> Column:

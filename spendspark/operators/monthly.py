@@ -10,16 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from spendspark.functions.calendar import day_of_month, day_of_week, month_start
 from spendspark.functions.numeric import clip, safe_ratio
 from spendspark.schemas import CATEGORY_FEATURES, CATEGORY_TARGET
 
-_HISTORY = W.partitionBy("user_id", "category_id").orderBy("year_month")
-_USER_MONTH = W.partitionBy("user_id", "year_month")
 TREND_CAP = 5.0
 
 
+def _history() -> WindowSpec:
+    return W.partitionBy("user_id", "category_id").orderBy("year_month")
+
+
 def monthly_category(tx: DataFrame) -> DataFrame:
     """Sum, count, mean, maximum of amount and mean day numbers per user, category and month."""
     n = F.count("amount")
@@ -61,7 +64,7 @@ def with_ratio(monthly: DataFrame) -> DataFrame:
 
     The repartition is the one exchange by user that this and the history windows share.
     """
-    totals = F.sum("spending").over(_USER_MONTH).cast("double")
+    totals = F.sum("spending").over(W.partitionBy("user_id", "year_month")).cast("double")
     return (
         monthly.repartition("user_id")
         .withColumn("total_all_categories", totals)
@@ -71,7 +74,7 @@ def with_ratio(monthly: DataFrame) -> DataFrame:
 
 
 def _lagged(name: str) -> Column:
-    return F.lag(name).over(_HISTORY)
+    return F.lag(name).over(_history())
 
 
 def with_history(shares: DataFrame) -> DataFrame:
@@ -79,7 +82,7 @@ def with_history(shares: DataFrame) -> DataFrame:
 
     "Previous" counts rows: a month without transactions is skipped, not filled.
     """
-    before = F.avg("monthly_spending").over(_HISTORY.rowsBetween(-3, -1))
+    before = F.avg("monthly_spending").over(_history().rowsBetween(-3, -1))
     return (
         shares.withColumns(
             {
@@ -87,7 +90,7 @@ def with_history(shares: DataFrame) -> DataFrame:
                 "prev_month_count": _lagged("transaction_count"),
                 "prev_month_ratio": _lagged("category_ratio"),
                 "avg_monthly_spending_3m": before,
-                CATEGORY_TARGET: F.lead("monthly_spending").over(_HISTORY),
+                CATEGORY_TARGET: F.lead("monthly_spending").over(_history()),
             }
         )
         .withColumns(

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from spendspark.functions.calendar import week_end
 from spendspark.functions.numeric import array_sum, clip, safe_ratio
@@ -21,10 +22,14 @@ SCALE_PERCENTILE = 0.95
 SCALE_CAP = 3.0
 INACTIVE_BELOW = 0.001
 
-_USER = W.partitionBy("user_id")
-_WEEKS = _USER.orderBy("week_end")
-# The whole history, in the same order as _WEEKS so that both need one sort only.
-_HISTORY = _WEEKS.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+
+def _weeks() -> WindowSpec:
+    return W.partitionBy("user_id").orderBy("week_end")
+
+
+def _all_weeks() -> WindowSpec:
+    """The whole history, in the order of ``_weeks`` so that both need one sort only."""
+    return _weeks().rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
 
 
 def weekly_spend(tx: DataFrame) -> DataFrame:
@@ -44,7 +49,7 @@ def fill_gaps(weekly: DataFrame, at_most: int | None = None) -> DataFrame:
     ``active_sequences`` for when that is exact). Other columns are per user and are repeated.
     """
     others = [c for c in weekly.columns if c not in ("user_id", "week_end", "spend")]
-    following = F.lead("week_end").over(_WEEKS)
+    following = F.lead("week_end").over(_weeks())
     empty = F.coalesce(F.datediff(following, "week_end") / 7 - 1, F.lit(0.0)).cast("int")
     if at_most is not None:
         empty = F.least(empty, F.lit(at_most))
@@ -79,7 +84,7 @@ def user_scale(weekly: DataFrame) -> DataFrame:
 
 
 def with_scale(weekly: DataFrame) -> DataFrame:
-    return weekly.withColumn("scale", _scale(_p95_of_positive().over(_HISTORY)))
+    return weekly.withColumn("scale", _scale(_p95_of_positive().over(_all_weeks())))
 
 
 def _scaled() -> Column:
@@ -94,7 +99,7 @@ def normalised_series(weekly: DataFrame) -> DataFrame:
 def _sequences(filled: DataFrame) -> DataFrame:
     """Four consecutive weeks ``x`` and the following week ``y``, for users with over 4 weeks."""
     values = filled.withColumn("scaled", _scaled())
-    earlier = [F.lag("scaled", n).over(_WEEKS) for n in range(WINDOW_SIZE, 0, -1)]
+    earlier = [F.lag("scaled", n).over(_weeks()) for n in range(WINDOW_SIZE, 0, -1)]
     return (
         values.select(
             "user_id",
@@ -129,13 +134,13 @@ def keep_active(seqs: DataFrame) -> DataFrame:
 def latest_weeks(weekly: DataFrame) -> DataFrame:
     """The last four weeks of each user with at least four, as the forecast input."""
     filled = fill_gaps(weekly, at_most=WINDOW_SIZE)
-    recent = [F.lag("spend", n).over(_WEEKS) for n in range(WINDOW_SIZE - 1, -1, -1)]
+    recent = [F.lag("spend", n).over(_weeks()) for n in range(WINDOW_SIZE - 1, -1, -1)]
     return (
         filled.select(
             "user_id",
             F.col("week_end").alias("last_week"),
             F.array(*recent).alias("weekly_spending"),
-            F.lead("week_end").over(_WEEKS).alias("following"),
+            F.lead("week_end").over(_weeks()).alias("following"),
         )
         .where(F.col("following").isNull() & F.col("weekly_spending")[0].isNotNull())
         .drop("following")
