@@ -125,7 +125,8 @@ training AS (
 )
 
 ANOMALY = """averages AS (
-  SELECT category_id, CAST(sum(amount) AS DOUBLE) / count(amount) AS category_avg FROM tx GROUP BY 1),
+  SELECT category_id, CAST(sum(amount) AS DOUBLE) / count(amount) AS category_avg,
+         count(amount) AS transactions FROM tx GROUP BY 1),
 anomaly AS (
   SELECT transaction_id, CAST(amount AS DOUBLE) AS amount, category_id,
          CAST(isodow(date) - 1 AS INTEGER) AS day_of_week, CAST(day(date) AS INTEGER) AS day_of_month,

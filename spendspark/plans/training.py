@@ -152,7 +152,8 @@ def fit_anomaly(tx: DataFrame, keys: list[str], **overrides) -> AnomalyModel:
     """Category averages and a forest on the five features; ``keys`` identify a transaction."""
     averages = materialise(category_average(tx), "category-averages")
     features = anomaly_features(tx, averages)
-    return AnomalyModel(iforest.fit(features, ANOMALY_FEATURES, keys, **overrides), averages)
+    n = averages.agg(F.sum("transactions")).first()[0]
+    return AnomalyModel(iforest.fit(features, ANOMALY_FEATURES, keys, n=n, **overrides), averages)
 
 
 def anomaly_counts(results: DataFrame) -> DataFrame:
