@@ -487,7 +487,7 @@ def ratio_threshold(spark, sf_dir):
 def iforest_flags(spark, sf_dir):
     """Every order scored by a forest fitted on all of them."""
     tx = tx_orders(spark, sf_dir)
-    model = training.fit_anomaly(tx, ["transaction_id"])
+    model = training.fit_anomaly(tx)
     results, _ = scoring.check_transactions(tx, model.averages, model.forest)
     return results
 
@@ -498,7 +498,7 @@ def iforest_stream(spark, sf_dir):
     folder = scratch_path(spark, "stream-in")
     tx_orders(spark, sf_dir).write.parquet(folder)
     tx = spark.read.parquet(folder)
-    model = training.fit_anomaly(tx, ["transaction_id"])
+    model = training.fit_anomaly(tx)
     results, _ = stream.score_stream(stream.read_stream(spark, folder, tx.schema), model)
     out, checkpoint = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-checkpoint")
     stream.write_stream(results, out, checkpoint, once=True).awaitTermination()
@@ -537,8 +537,8 @@ def category_forecast(spark, sf_dir):
     fitted = training.fit_category(rows, maxIter=FEW_ROUNDS)
     artifacts.save_model(fitted.model, training.CATEGORY_FEATURES, CATEGORY_TARGET, path)
     model, _, _ = artifacts.load_model(spark, path)
-    requests = monthly.scoring_rows(features).dropna(subset=["prev_month_spending", "avg_monthly_spending_3m"])
-    return scoring.predict_category(requests, model, "user_id")
+    results, _ = scoring.predict_category(monthly.scoring_rows(features), model, "user_id")
+    return results
 
 
 def _stored_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:

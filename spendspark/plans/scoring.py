@@ -12,6 +12,7 @@ from spendspark.operators.iforest import Forest
 from spendspark.schemas import ANOMALY_FEATURES, CATEGORY_FEATURES
 
 UNSEEN_CATEGORY = "no stored average for this category"
+MISSING_INPUT = "a model input is missing"
 
 
 def accepted_and_rejected(requests: DataFrame, error) -> tuple[DataFrame, DataFrame]:
@@ -30,6 +31,13 @@ def trend_request_error():
     return F.when(values < 1, labels.NEEDS_AVERAGES)
 
 
+def category_request_error():
+    complete = F.lit(True)
+    for name in CATEGORY_FEATURES:
+        complete = complete & F.col(name).isNotNull()
+    return F.when(~complete, MISSING_INPUT)
+
+
 # ---- category forecast ---------------------------------------------------------------------
 
 
@@ -54,10 +62,11 @@ def category_results(df: DataFrame, prediction: str, *keys: str) -> DataFrame:
     )
 
 
-def predict_category(requests: DataFrame, model: PipelineModel, *keys: str) -> DataFrame:
-    """Any number of category requests at once; other columns than the inputs must be in ``keys``."""
+def predict_category(requests: DataFrame, model: PipelineModel, *keys: str) -> tuple[DataFrame, DataFrame]:
+    """Results and rejected requests; other columns than the inputs must be in ``keys``."""
     inputs = requests.select(*keys, *[F.col(c) for c in CATEGORY_FEATURES if c not in keys])
-    return category_results(model.transform(inputs), "prediction", *keys)
+    good, rejected = accepted_and_rejected(inputs, category_request_error())
+    return category_results(model.transform(good), "prediction", *keys), rejected
 
 
 # ---- population trend ----------------------------------------------------------------------

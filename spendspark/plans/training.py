@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from spendspark.operators import iforest, monthly, weekly
 from spendspark.operators.anomaly import anomaly_features, category_average
 from spendspark.operators.split import flag_ordered, hashed_split, ordered_split
-from spendspark.plans.scoring import check_transactions, with_lags
-from spendspark.schemas import ANOMALY_FEATURES, CATEGORY_FEATURES, CATEGORY_TARGET
+from spendspark.plans.scoring import with_lags
+from spendspark.schemas import ANOMALY_FEATURES, CATEGORY_FEATURES, CATEGORY_TARGET, TRANSACTION_KEYS
 from spendspark.session import materialise, shared_folder
 from spendspark.sources import artifacts, guards
 
@@ -148,12 +148,12 @@ class AnomalyModel:
     averages: DataFrame
 
 
-def fit_anomaly(tx: DataFrame, keys: list[str], **overrides) -> AnomalyModel:
-    """Category averages and a forest on the five features; ``keys`` identify a transaction."""
+def fit_anomaly(tx: DataFrame, **overrides) -> AnomalyModel:
+    """Category averages and a forest on the five features."""
     averages = materialise(category_average(tx), "category-averages")
     features = anomaly_features(tx, averages)
     n = averages.agg(F.sum("transactions")).first()[0]
-    return AnomalyModel(iforest.fit(features, ANOMALY_FEATURES, keys, n=n, **overrides), averages)
+    return AnomalyModel(iforest.fit(features, ANOMALY_FEATURES, TRANSACTION_KEYS, n=n, **overrides), averages)
 
 
 def anomaly_counts(results: DataFrame) -> DataFrame:
@@ -183,20 +183,19 @@ def load_anomaly_model(spark: SparkSession, path: str) -> AnomalyModel:
 
 
 def anomaly_job(
-    tx: DataFrame,
-    keys: list[str],
-    model_path: str,
-    run_log: str,
-    demo: Callable[[], DataFrame] | None = None,
-    **overrides,
+    tx: DataFrame, model_path: str, run_log: str, demo: Callable[[], DataFrame] | None = None, **overrides
 ) -> AnomalyModel:
     """Transactions to a stored anomaly model, with its share of anomalies logged."""
     spark = tx.sparkSession
     tx = guards.at_least(tx, guards.MIN_ANOMALY_TRANSACTIONS, "anomaly detection", demo)
-    model = fit_anomaly(tx, keys, **overrides)
+    model = fit_anomaly(tx, **overrides)
     save_anomaly_model(model, model_path)
-    results, _ = check_transactions(tx, model.averages, model.forest)
-    metrics = anomaly_counts(results).first().asDict()
-    params = {"contamination": iforest.CONTAMINATION, "n_estimators": model.forest.trees}
+    flags = model.forest.training_scores.select((F.col("score") < model.forest.offset).alias("is_anomaly"))
+    metrics = anomaly_counts(flags).first().asDict()
+    params = {
+        "contamination": iforest.CONTAMINATION,
+        "n_estimators": model.forest.trees,
+        "n_samples": metrics["n_anomalies"] + metrics["n_normal"],
+    }
     artifacts.log_run(spark, run_log, artifacts.new_run_id(), {**params, **overrides}, metrics)
     return model

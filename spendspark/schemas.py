@@ -44,6 +44,9 @@ CATEGORY_FEATURES = [
 CATEGORY_TARGET = "next_month_spending"
 ANOMALY_FEATURES = ["amount", "category_id", "day_of_week", "day_of_month", "amount_vs_category_avg"]
 
+# What tells transactions apart when a forest draws its samples, even if ids repeat.
+TRANSACTION_KEYS = ["transaction_id", "user_id", "category_id", "amount", "day_of_week", "day_of_month"]
+
 _INTEGER_INPUTS = {"category_id", "month", "year", "transaction_count", "prev_month_count"}
 
 CATEGORY_REQUEST = T.StructType(
