@@ -87,7 +87,7 @@ def with_history(shares: DataFrame) -> DataFrame:
         shares.withColumns(
             {
                 "prev_month_spending": _lagged("monthly_spending"),
-                "prev_month_count": _lagged("transaction_count"),
+                "prev_month_count": _lagged("transaction_count").cast("double"),
                 "prev_month_ratio": _lagged("category_ratio"),
                 "avg_monthly_spending_3m": before,
                 CATEGORY_TARGET: F.lead("monthly_spending").over(_history()),

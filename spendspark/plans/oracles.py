@@ -101,7 +101,7 @@ shares AS (
   FROM monthly m LEFT JOIN totals USING (user_id, year_month)),
 lagged AS (
   SELECT *, lag(monthly_spending) OVER w AS prev_month_spending,
-         lag(transaction_count) OVER w AS prev_month_count,
+         CAST(lag(transaction_count) OVER w AS DOUBLE) AS prev_month_count,
          lag(category_ratio) OVER w AS prev_month_ratio,
          avg(monthly_spending) OVER (PARTITION BY user_id, category_id ORDER BY year_month
                                      ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS avg_monthly_spending_3m,

@@ -47,7 +47,7 @@ ANOMALY_FEATURES = ["amount", "category_id", "day_of_week", "day_of_month", "amo
 # What tells transactions apart when a forest draws its samples, even if ids repeat.
 TRANSACTION_KEYS = ["transaction_id", "user_id", "category_id", "amount", "day_of_week", "day_of_month"]
 
-_INTEGER_INPUTS = {"category_id", "month", "year", "transaction_count", "prev_month_count"}
+_INTEGER_INPUTS = {"category_id", "month", "year", "transaction_count"}
 
 CATEGORY_REQUEST = T.StructType(
     [

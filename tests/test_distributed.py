@@ -1,0 +1,147 @@
+"""Splits, order statistics and lookups; the same results under any partitioning and skew."""
+
+
+import numpy as np
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from spendspark.operators import monthly, weekly
+from spendspark.operators.lookup import left_lookup
+from spendspark.operators.order_stats import exact_percentile, kth_smallest
+from spendspark.operators.split import flag_ordered, hashed_split, ordered_split
+from spendspark.sources.adapters import tx_events, tx_lineitem, tx_orders
+
+FEW = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+@FEW
+@given(
+    values=st.lists(st.integers(-(2**63), 2**63 - 1) | st.integers(-3, 3), min_size=1, max_size=40),
+    k=st.integers(0, 39),
+)
+def test_kth_whole_number(spark, values, k):
+    k %= len(values)
+    assert kth_smallest(spark.createDataFrame([(v,) for v in values], "v long"), "v", k) == sorted(values)[k]
+
+
+@FEW
+@given(
+    values=st.lists(st.floats(-1e12, 1e12) | st.sampled_from([0.0, 1.5]), min_size=1, max_size=40),
+    fraction=st.sampled_from([0.0, 0.05, 0.5, 0.95, 1.0]),
+)
+def test_percentile_of_doubles(spark, values, fraction):
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    want = np.percentile(values, fraction * 100)
+    assert exact_percentile(frame, "v", fraction) == pytest.approx(want, rel=1e-9, abs=1e-9)
+
+
+def test_kth_ignores_nulls_and_checks_the_rank(spark):
+    frame = spark.createDataFrame([(None,), (3.0,), (1.0,)], "v double")
+    assert kth_smallest(frame, "v", 1) == 3.0
+    with pytest.raises(IndexError):
+        kth_smallest(frame, "v", 2)
+    with pytest.raises(ValueError):
+        exact_percentile(frame.limit(0), "v", 0.5)
+
+
+def test_percentile_with_a_value_held_by_most_rows(spark):
+    frame = spark.range(9000).select(F.when(F.col("id") % 3 > 0, 0.5).otherwise(F.rand(7)).alias("v"))
+    rows = [r.v for r in frame.collect()]
+    for fraction in (0.05, 0.4, 0.95):
+        assert exact_percentile(frame, "v", fraction) == pytest.approx(np.percentile(rows, 100 * fraction))
+
+
+@pytest.mark.parametrize("users, weeks", [(1, 11), (3, 7), (40, 1), (13, 5)])
+def test_ordered_split_is_exact(spark, users, weeks):
+    seqs = spark.range(users * weeks).select(
+        (F.col("id") % users * 1000 - 5000).alias("user_id"),
+        F.date_add(F.lit("2024-01-07").cast("date"), (F.floor(F.col("id") / users) * 7).cast("int")).alias("target_week"),
+    )
+    rows = ordered_split(seqs).orderBy("user_id", "target_week").collect()
+    n = int(0.8 * len(rows))
+    assert [r.is_train for r in rows] == [True] * n + [False] * (len(rows) - n)
+
+
+def test_flagging_all_or_no_rows(spark):
+    seqs = weekly.sequences(weekly.weekly_spend(tx_events(spark, "/root/testdata/sf0.001")))
+    n = seqs.count()
+    for wanted in (0, 1, n):
+        assert flag_ordered(seqs, wanted, "flag").where("flag").count() == wanted
+
+
+def test_hashed_split_ignores_partitioning(spark):
+    rows = spark.range(20_000).withColumnRenamed("id", "key")
+    one, two = hashed_split(rows, ["key"]), hashed_split(rows.repartition(7), ["key"])
+    assert one.exceptAll(two).isEmpty()
+    assert 0.78 < one.agg(F.avg(F.col("is_train").cast("int"))).first()[0] < 0.82
+
+
+def test_salted_lookup_equals_broadcast_lookup(spark):
+    facts = spark.range(5000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 900).alias("key"))
+    table = spark.range(500).select(F.col("id").alias("key"), (F.col("id") * 2).alias("value"))
+    small = left_lookup(facts, table, "key", ["id"])
+    large = left_lookup(facts, table, "key", ["id"], broadcast_rows=10, salts=7)
+    assert large.count() == small.count() == 5000
+    assert large.select(small.columns).exceptAll(small).isEmpty()
+    plan = large._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan
+
+
+def features_digest(frame):
+    columns = sorted(frame.columns)
+    return frame.agg(
+        F.count(F.lit(1)), F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+    ).first()
+
+
+@pytest.mark.parametrize(
+    "build",
+    [
+        lambda s: monthly.monthly_features(tx_lineitem(s, "/root/testdata/sf0.001")),
+        lambda s: weekly.active_sequences(weekly.weekly_spend(tx_orders(s, "/root/testdata/sf0.001"))),
+    ],
+    ids=["monthly", "weekly"],
+)
+def test_same_bits_under_any_shuffle_width(spark, build):
+    digests = set()
+    try:
+        for width in ("1", "8", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", width)
+            spark.conf.set("spark.sql.adaptive.enabled", str(width != "64").lower())
+            digests.add(tuple(features_digest(build(spark))))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(digests) == 1
+
+
+def test_a_third_of_the_rows_in_one_user_and_category(spark):
+    """Only combined rows of the hot user may reach the exchange by user."""
+    n = 60_000
+    tx = spark.range(n).select(
+        F.col("id").alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).alias("user_id"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 5).cast("int").alias("category_id"),
+        (F.col("id") % 1000).cast("decimal(18,2)").alias("amount"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 700).cast("int")).alias("date"),
+    )
+    week = weekly.weekly_spend(tx)
+    hot = week.where("user_id = 7")
+    assert hot.count() <= 101
+    assert week.agg(F.sum("spend")).first()[0] == sum(i % 1000 for i in range(n))
+    month = monthly.monthly_category(tx)
+    assert month.where("user_id = 7").count() <= 5 * 23
+    assert month.agg(F.sum("transaction_count")).first()[0] == n
+
+
+def test_windows_share_one_exchange_by_user(spark):
+    plan = monthly.monthly_features(tx_lineitem(spark, "/root/testdata/sf0.001"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 2 and "CartesianProduct" not in text
+    seqs = weekly.active_sequences(weekly.weekly_spend(tx_orders(spark, "/root/testdata/sf0.001")))
+    text = seqs._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 2 and "Join" not in text
+
+
