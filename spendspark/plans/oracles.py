@@ -195,26 +195,30 @@ def uniform_int(low: int, high: int, *parts: str) -> str:
     return f"CAST({low} + floor({unit(*parts)} * {high - low + 1}) AS BIGINT)"
 
 
+_DRAW = ("42", "user_id", "day", "k")
+
+_PER_USER = """
+SELECT user_id, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS total,
+       CAST(min(amount) AS DOUBLE) AS smallest, CAST(max(amount) AS DOUBLE) AS largest,
+       CAST(sum(category_id * day(date)) AS BIGINT) AS category_days,
+       min(date) AS first_day, max(date) AS last_day"""
+
+
 def synthetic(days: int, amount: str, more: str = "") -> str:
-    draw = ("42", "user_id", "day", "k")
     return f"""
 WITH days AS (
   SELECT c_custkey AS user_id, CAST(unnest(range(0, {days})) AS INTEGER) AS day FROM customer),
 counted AS (SELECT *, {uniform_int(1, 3, "42", "user_id", "day", "'count'")} AS n FROM days),
 drawn AS (SELECT user_id, day, unnest(range(1, n + 1)) AS k, DATE '2024-01-01' + day AS date FROM counted),
 tx AS (
-  SELECT user_id, date, {uniform_int(1, 5, *draw, "'category'")} AS category_id,
+  SELECT user_id, date, {uniform_int(1, 5, *_DRAW, "'category'")} AS category_id,
          CAST({amount} AS DECIMAL(18,2)) AS amount,
-         {unit(*draw, "'outlier'")} < 0.05::DOUBLE AS is_injected
+         {unit(*_DRAW, "'outlier'")} < 0.05::DOUBLE AS is_injected
   FROM drawn)
-SELECT user_id, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS total,
-       CAST(min(amount) AS DOUBLE) AS smallest, CAST(max(amount) AS DOUBLE) AS largest,
-       CAST(sum(category_id * day(date)) AS BIGINT) AS category_days,
-       min(date) AS first_day, max(date) AS last_day{more}
+{_PER_USER}{more}
 FROM tx GROUP BY user_id"""
 
 
-_DRAW = ("42", "user_id", "day", "k")
 _SPREAD = f"(0.3::DOUBLE + {unit(*_DRAW, chr(39) + 'spread' + chr(39))} * 1.7::DOUBLE)"
 _SEASONAL_AMOUNT = (
     f"floor({uniform_int(50_000, 300_000, '42', 'user_id', chr(39) + 'base' + chr(39))} "
@@ -369,6 +373,13 @@ SELECT 'transactions' AS stage, count(*) AS n FROM tx
 UNION ALL SELECT 'monthly_rows', count(*) FROM training
 UNION ALL SELECT 'sequences', count(*) FROM active""",
     ),
+    "hashed_split_sides": with_ctes(
+        LINEITEM,
+        FEATURES,
+        select=_MONTH_KEYS
+        + unit("42", "user_id", "category_id", "year_month")
+        + " < 0.8::DOUBLE AS is_train FROM training",
+    ),
     "population_trend": with_ctes(
         LINEITEM,
         MONTHLY,
@@ -424,6 +435,15 @@ SELECT round_even(threshold, 9) AS threshold, count(*) FILTER (WHERE amount_vs_c
 FROM anomaly, (SELECT quantile_cont(amount_vs_category_avg, 0.05) AS threshold FROM anomaly)
 GROUP BY 1""",
     ),
+    "synthetic_tiny": f"""
+WITH drawn AS (SELECT c_custkey AS user_id, CAST(unnest(range(0, 10)) AS INTEGER) AS day, 1 AS k FROM customer),
+tx AS (
+  SELECT user_id, DATE '2023-10-01' + CAST((user_id - 101 + 36500) % 3650 * 10 AS INTEGER) + day AS date,
+         {uniform_int(1, 5, *_DRAW, "'category'")} AS category_id,
+         {uniform_int(20_000, 200_000, *_DRAW, "'amount'")} AS amount
+  FROM drawn)
+{_PER_USER}
+FROM tx GROUP BY user_id""",
     "synthetic_seasonal": synthetic(365, _SEASONAL_AMOUNT),
     "synthetic_outliers": synthetic(
         180, _OUTLIER_AMOUNT, ",\n       count(*) FILTER (WHERE is_injected) AS n_injected"

@@ -598,6 +598,12 @@ def _per_user(tx: DataFrame, *more: Column) -> DataFrame:
     )
 
 
+@query
+def synthetic_tiny(spark, sf_dir):
+    """A9 with every customer as a user, summed per user."""
+    return _per_user(synthetic.tiny_transactions(_customers(spark, sf_dir)))
+
+
 @query
 def synthetic_seasonal(spark, sf_dir):
     """A10 with every customer as a user, summed per user."""

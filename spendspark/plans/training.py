@@ -102,8 +102,7 @@ def fit_weekly(seqs: DataFrame, **overrides) -> Fitted:
     params = {**WEEKLY_PARAMS, **overrides}
     split = with_lags(ordered_split(seqs), LAGS)
     train, test = split.where("is_train"), split.where(~F.col("is_train"))
-    fit_rows = int(train.count() * (1 - VALIDATION_TAIL))
-    tailed = flag_ordered(train, fit_rows, "is_fit").withColumn("is_tail", ~F.col("is_fit"))
+    tailed = flag_ordered(train, 1 - VALIDATION_TAIL, "is_fit").withColumn("is_tail", ~F.col("is_fit"))
     pipeline = _boosted(LAGS, "y", {**params, "validationIndicatorCol": "is_tail"})
     model = pipeline.fit(tailed)
     return Fitted(model, _errors(model.transform(test), "y"), params)

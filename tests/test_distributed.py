@@ -67,8 +67,8 @@ def test_ordered_split_is_exact(spark, users, weeks):
 def test_flagging_all_or_no_rows(spark):
     seqs = weekly.sequences(weekly.weekly_spend(tx_events(spark, "/root/testdata/sf0.001")))
     n = seqs.count()
-    for wanted in (0, 1, n):
-        assert flag_ordered(seqs, wanted, "flag").where("flag").count() == wanted
+    for fraction, wanted in ((0.0, 0), (1.0, n), (0.5, n // 2)):
+        assert flag_ordered(seqs, fraction, "flag").where("flag").count() == wanted
 
 
 def test_hashed_split_ignores_partitioning(spark):
