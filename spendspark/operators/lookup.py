@@ -20,11 +20,11 @@ def left_lookup(
 ) -> DataFrame:
     """Left join on ``key`` without ever sending all rows of one key to one task.
 
-    ``table`` must be stored (see ``session.materialise``), since it is counted first. A small
-    one is broadcast and the facts are not shuffled at all. A larger one is repeated once per
+    ``table`` must be stored (see ``session.materialise``): it is counted first, which for files
+    reads their footers only. A small one is broadcast and the facts are not shuffled at all. A larger one is repeated once per
     salt, and the facts of a key spread over the salts by a hash of ``spread_by``.
     """
-    if table.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if table.count() <= broadcast_rows:
         return facts.join(F.broadcast(table), key, "left")
     return _salted(facts, table, key, spread_by, salts)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +34,8 @@ def trend_request_error():
     return F.when(values < 1, labels.NEEDS_AVERAGES)
 
 
-def category_request_error():
-    complete = F.lit(True)
-    for name in CATEGORY_FEATURES:
-        complete = complete & F.col(name).isNotNull()
-    return F.when(~complete, MISSING_INPUT)
+def missing_input_error(inputs: list[str]):
+    return F.when(reduce(or_, [F.col(name).isNull() for name in inputs]), MISSING_INPUT)
 
 
 # ---- category forecast ---------------------------------------------------------------------
@@ -65,7 +65,7 @@ def category_results(df: DataFrame, prediction: str, *keys: str) -> DataFrame:
 def predict_category(requests: DataFrame, model: PipelineModel, *keys: str) -> tuple[DataFrame, DataFrame]:
     """Results and rejected requests; other columns than the inputs must be in ``keys``."""
     inputs = requests.select(*keys, *[F.col(c) for c in CATEGORY_FEATURES if c not in keys])
-    good, rejected = accepted_and_rejected(inputs, category_request_error())
+    good, rejected = accepted_and_rejected(inputs, missing_input_error(CATEGORY_FEATURES))
     return category_results(model.transform(good), "prediction", *keys), rejected
 
 
@@ -107,16 +107,21 @@ def anomaly_results(df: DataFrame, decision) -> DataFrame:
     )
 
 
-def check_requests(requests: DataFrame, forest: Forest) -> DataFrame:
-    """Requests that bring their features with them."""
-    return anomaly_results(requests.select("transaction_id", *ANOMALY_FEATURES), forest.decision())
+def _scored(features: DataFrame, forest: Forest) -> DataFrame:
+    return anomaly_results(features.select("transaction_id", *ANOMALY_FEATURES), forest.decision())
+
+
+def check_requests(requests: DataFrame, forest: Forest) -> tuple[DataFrame, DataFrame]:
+    """Results and rejected requests, for requests that bring their features with them."""
+    good, rejected = accepted_and_rejected(requests, missing_input_error(ANOMALY_FEATURES))
+    return _scored(good, forest), rejected
 
 
 def check_transactions(tx: DataFrame, averages: DataFrame, forest: Forest) -> tuple[DataFrame, DataFrame]:
     """Results, and the transactions of categories the model has not seen."""
     unseen = F.when(F.col("category_avg").isNull(), UNSEEN_CATEGORY)
     known, rejected = accepted_and_rejected(anomaly_features(tx, averages), unseen)
-    return check_requests(known, forest), rejected
+    return _scored(known, forest), rejected
 
 
 # ---- weekly forecast -----------------------------------------------------------------------
