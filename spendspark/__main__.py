@@ -106,10 +106,9 @@ def run_check_anomalies(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_stream_anomalies(spark: SparkSession, args: argparse.Namespace) -> None:
     """Parquet files of normalised transactions, as they arrive in the input folder."""
     model = training.load_anomaly_model(spark, args.model)
-    results, _ = stream.score_stream(stream.read_stream(spark, args.input, schemas.TRANSACTIONS), model)
-    checkpoint = os.path.join(args.out, "checkpoint")
-    query = stream.write_stream(results, os.path.join(args.out, "results"), checkpoint, args.once)
-    query.awaitTermination()
+    both = stream.score_stream(stream.read_stream(spark, args.input, schemas.TRANSACTIONS), model)
+    for running in stream.write_both(*both, args.out, args.once):
+        running.awaitTermination()
 
 
 JOBS = {

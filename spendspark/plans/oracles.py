@@ -238,7 +238,7 @@ FROM tx WHERE transaction_id % 50 <> 0 AND transaction_id % 75 <> 0"""
 _SEQUENCE_COLUMNS = "SELECT user_id, target_week, x1, x2, x3, x4, y, scale FROM "
 _MONTH_KEYS = "SELECT user_id, category_id, year_month, "
 
-ORACLES: dict[str, str] = {
+_SQL: dict[str, str] = {
     "amount_coercion": """
 WITH items AS (
   SELECT *, CAST(l_extendedprice AS DECIMAL(18,2)) AS p, (l_orderkey + l_linenumber) % 16 AS v FROM lineitem),
@@ -449,3 +449,39 @@ FROM tx GROUP BY user_id""",
         180, _OUTLIER_AMOUNT, ",\n       count(*) FILTER (WHERE is_injected) AS n_injected"
     ),
 }
+
+# Day columns of each result; they are compared as ISO text.
+_DAYS: dict[str, list[str]] = {
+    **dict.fromkeys(
+        ["date_parsing", "csv_without_header", "csv_with_header", "json_records", "snapshot_after_empty_batch"],
+        ["date"],
+    ),
+    "calendar_parts": ["date", "year_month", "week_end"],
+    **dict.fromkeys(
+        ["weekly_spend", "weekly_spend_gap_filled", "weekly_spend_gap_filled_events", "weekly_normalised"],
+        ["week_end"],
+    ),
+    **dict.fromkeys(
+        ["weekly_sequences", "weekly_sequences_lineitem", "weekly_sequences_active"]
+        + ["weekly_sequences_active_lineitem", "stored_sequences", "sequence_split"],
+        ["target_week"],
+    ),
+    "weekly_scoring_frame": ["last_week"],
+    **dict.fromkeys(
+        ["monthly_category_spend", "monthly_user_total", "category_ratio", "monthly_lags", "rolling_3m_prior"]
+        + ["spending_trend", "monthly_target", "monthly_training_features", "monthly_training_features_orders"]
+        + ["monthly_scoring_frame", "trend_label_category", "hashed_split_sides"],
+        ["year_month"],
+    ),
+    **dict.fromkeys(
+        ["synthetic_tiny", "synthetic_seasonal", "synthetic_outliers"], ["first_day", "last_day"]
+    ),
+}
+
+
+def days_as_text(sql: str, days: list[str]) -> str:
+    casts = ", ".join(f"CAST({day} AS VARCHAR) AS {day}" for day in days)
+    return f"SELECT * REPLACE ({casts}) FROM ({sql})" if days else sql
+
+
+ORACLES: dict[str, str] = {name: days_as_text(sql, _DAYS.get(name, [])) for name, sql in _SQL.items()}

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spendspark.functions import calendar, labels, numeric
 from spendspark.functions.parsing import parse_amount, parse_date
@@ -27,8 +29,16 @@ FEW_ROUNDS = 10
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    """Registers a query; its days come out as ISO text, which every client shows alike."""
+
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = fn(spark, sf_dir)
+        days = [f.name for f in df.schema if isinstance(f.dataType, T.DateType)]
+        return df.withColumns({name: F.col(name).cast("string") for name in days})
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def spread(array: str, prefix: str, n: int = weekly.WINDOW_SIZE) -> list[Column]:
@@ -499,10 +509,11 @@ def iforest_stream(spark, sf_dir):
     tx_orders(spark, sf_dir).write.parquet(folder)
     tx = spark.read.parquet(folder)
     model = training.fit_anomaly(tx)
-    results, _ = stream.score_stream(stream.read_stream(spark, folder, tx.schema), model)
-    out, checkpoint = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-checkpoint")
-    stream.write_stream(results, out, checkpoint, once=True).awaitTermination()
-    return spark.read.parquet(out)
+    both = stream.score_stream(stream.read_stream(spark, folder, tx.schema), model)
+    out = scratch_path(spark, "stream-out")
+    for running in stream.write_both(*both, out, once=True):
+        running.awaitTermination()
+    return spark.read.parquet(f"{out}/results")
 
 
 # ---- forecasts -----------------------------------------------------------------------------

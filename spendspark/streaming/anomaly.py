@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -21,7 +23,15 @@ def score_stream(tx: DataFrame, model: AnomalyModel) -> tuple[DataFrame, DataFra
     return check_transactions(tx, model.averages, model.forest)
 
 
-def write_stream(results: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Append results as files, each exactly once; ``once`` stops after the files present now."""
-    writer = results.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+def write_stream(df: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Append rows as files, each exactly once; ``once`` stops after the files present now."""
+    writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start(path)
+
+
+def write_both(results: DataFrame, rejected: DataFrame, out: str, once: bool = False) -> list[StreamingQuery]:
+    """Results and rejected transactions, each as a query of its own, into folders below ``out``."""
+    return [
+        write_stream(df, os.path.join(out, name), os.path.join(out, "checkpoints", name), once)
+        for name, df in (("results", results), ("rejected", rejected))
+    ]

@@ -73,4 +73,5 @@ def test_streaming_job(spark, folders, tmp_path):
     snapshot = tx_lineitem(spark, SMALL).selectExpr("*", "cast(null as string) as note")
     snapshot.repartition(3).write.parquet(str(tmp_path / "in"))
     main(["stream-anomalies", "--input", str(tmp_path / "in"), "--model", folders["anomaly"], "--out", str(tmp_path / "out"), "--once"])
-    assert spark.read.parquet(str(tmp_path / "out" / "results")).count() == 6000
+    scored, rejected = results(spark, tmp_path / "out")
+    assert (scored.count(), rejected.count()) == (6000, 0)

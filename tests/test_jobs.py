@@ -163,6 +163,13 @@ def test_stream_equals_batch(spark, tmp_path):
     assert len(query.recentProgress) >= 3
     scored = spark.read.parquet(out)
     assert scored.count() == batch.count() == 1500 and scored.exceptAll(batch).isEmpty()
+    unseen = tx.limit(3).withColumn("category_id", F.lit(99))
+    unseen.write.mode("append").parquet(folder)
+    both = stream.score_stream(stream.read_stream(spark, folder, tx.schema), model)
+    for running in stream.write_both(*both, str(tmp_path / "both"), once=True):
+        running.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "both" / "results")).count() == 1500
+    assert spark.read.parquet(str(tmp_path / "both" / "rejected")).count() == 3
     more = tx.limit(10).withColumn("transaction_id", F.col("transaction_id") + 1_000_000)
     more.write.mode("append").parquet(folder)
     stream.write_stream(results, out, checkpoint, once=True).awaitTermination()
