@@ -67,16 +67,26 @@ def _boosted(inputs: list[str], target: str, params: dict) -> Pipeline:
     return Pipeline(stages=[assembler, trees])
 
 
+def _in_fixed_order(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows placed and sorted by their unique key.
+
+    Row sampling draws by position, so with this the seed alone decides which rows a tree sees.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(partitions, *keys).sortWithinPartitions(*keys)
+
+
 def fit_category(rows: DataFrame, **overrides) -> Fitted:
     """Boosted trees on the monthly training rows, tested on a hashed fifth of them.
 
-    ``rows`` should be stored: every boosting round reads them again (from cache).
+    ``rows`` should be stored: the fit and the evaluation read them separately.
     """
     shared_folder(rows.sparkSession)
     params = {**CATEGORY_PARAMS, **overrides}
-    split = hashed_split(rows, ["user_id", "category_id", "year_month"])
+    keys = ["user_id", "category_id", "year_month"]
+    split = hashed_split(rows, keys)
     train, test = split.where("is_train"), split.where(~F.col("is_train"))
-    model = _boosted(CATEGORY_FEATURES, CATEGORY_TARGET, params).fit(train)
+    model = _boosted(CATEGORY_FEATURES, CATEGORY_TARGET, params).fit(_in_fixed_order(train, keys))
     predictions = model.transform(test)
     metrics = _errors(predictions, CATEGORY_TARGET)
     metrics.update({f"fi_{name}": share for name, share in importances(model).items()})
@@ -104,7 +114,7 @@ def fit_weekly(seqs: DataFrame, **overrides) -> Fitted:
     train, test = split.where("is_train"), split.where(~F.col("is_train"))
     tailed = flag_ordered(train, 1 - VALIDATION_TAIL, "is_fit").withColumn("is_tail", ~F.col("is_fit"))
     pipeline = _boosted(LAGS, "y", {**params, "validationIndicatorCol": "is_tail"})
-    model = pipeline.fit(tailed)
+    model = pipeline.fit(_in_fixed_order(tailed, ["user_id", "target_week"]))
     return Fitted(model, _errors(model.transform(test), "y"), params)
 
 

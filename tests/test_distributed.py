@@ -1,6 +1,8 @@
 """Splits, order statistics and lookups; the same results under any partitioning and skew."""
 
 
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -11,6 +13,7 @@ from spendspark.operators import monthly, weekly
 from spendspark.operators.lookup import left_lookup
 from spendspark.operators.order_stats import exact_percentile, kth_smallest
 from spendspark.operators.split import flag_ordered, hashed_split, ordered_split
+from spendspark.session import shared_folder
 from spendspark.sources.adapters import tx_events, tx_lineitem, tx_orders
 
 FEW = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -145,3 +148,12 @@ def test_windows_share_one_exchange_by_user(spark):
     assert text.count("Exchange hashpartitioning") == 2 and "Join" not in text
 
 
+
+
+def test_a_cluster_needs_a_shared_folder():
+    """A stand-in for a session on a cluster that has no checkpoint folder."""
+    cluster = SimpleNamespace(
+        conf={}, sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(cluster)

@@ -68,6 +68,11 @@ def test_samples_do_not_depend_on_partitioning(points):
     assert one.exceptAll(two).isEmpty() and one.count() == 5 * 256
 
 
+def test_fit_does_not_depend_on_partitioning(points):
+    one, two = (iforest.fit(p, ["a", "b"], ["id"], n_trees=5) for p in (points, points.repartition(7)))
+    assert one.offset == two.offset and one.nodes.exceptAll(two.nodes).isEmpty()
+
+
 def test_depth_is_limited_and_constant_data_is_one_leaf():
     rng = np.random.default_rng(0)
     nodes = trees.grow(rng.normal(size=(256, 3)), rng, 8)

@@ -42,6 +42,12 @@ def test_category_job_stores_and_logs(spark, category):
     assert 0 < fitted.metrics["mae"] < fitted.metrics["rmse"] < repeated["rmse"]
 
 
+def test_category_fit_is_repeatable(spark):
+    rows = monthly.training_rows(monthly.monthly_features(tx_lineitem(spark, SMALL)))
+    one, two = (training.fit_category(r, maxIter=3) for r in (rows, rows.orderBy(F.rand(1)).repartition(3)))
+    assert one.metrics == pytest.approx(two.metrics, rel=1e-9)
+
+
 def test_category_requests(spark, category):
     fitted, _ = category
     request = {c: 1 for c in CATEGORY_FEATURES}
