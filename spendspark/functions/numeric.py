@@ -22,14 +22,14 @@ def floor_at_zero(prediction: Column) -> Column:
     return F.greatest(F.nanvl(prediction, F.lit(0.0)), F.lit(0.0))
 
 
-def percent_change(value: Column, reference: Column) -> Column:
-    return (value - reference) / reference * 100
+def percent_change(value: Column, base: Column) -> Column:
+    return (value - base) / base * 100
 
 
-def percent_change_or(value: Column, reference: Column, fallback: Column) -> Column:
-    """Percent change against the reference, else against the fallback, else 0."""
+def percent_change_or(value: Column, base: Column, fallback: Column) -> Column:
+    """Percent change against the base, else against the fallback, else 0."""
     return (
-        F.when(reference > 0, percent_change(value, reference))
+        F.when(base > 0, percent_change(value, base))
         .when(fallback > 0, percent_change(value, fallback))
         .otherwise(0.0)
     )

@@ -135,9 +135,9 @@ anomaly AS (
   FROM tx JOIN averages USING (category_id))"""
 
 
-def change(value: str, reference: str, fallback: str) -> str:
+def change(value: str, base: str, fallback: str) -> str:
     return (
-        f"CASE WHEN {reference} > 0 THEN ({value} - {reference}) / {reference} * 100 "
+        f"CASE WHEN {base} > 0 THEN ({value} - {base}) / {base} * 100 "
         f"WHEN {fallback} > 0 THEN ({value} - {fallback}) / {fallback} * 100 ELSE 0.0::DOUBLE END"
     )
 

@@ -71,7 +71,8 @@ def _amount_texts() -> Column:
         F.lit("inf"),
         F.concat(F.lit("-"), text),
     ]
-    return F.element_at(F.array(*variants), F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(16)).cast("int") + 1)
+    number = F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(len(variants))).cast("int")
+    return F.element_at(F.array(*variants), number + 1)
 
 
 @query
@@ -526,7 +527,8 @@ def _stored_training_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
 
 
 def _metrics_frame(spark: SparkSession, metrics: dict[str, float]) -> DataFrame:
-    return spark.createDataFrame([(k, float(v)) for k, v in metrics.items()], "metric string, value double")
+    rows = [(name, float(value)) for name, value in metrics.items()]
+    return spark.createDataFrame(rows, "metric string, value double")
 
 
 @query

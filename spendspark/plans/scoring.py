@@ -6,7 +6,7 @@ from functools import reduce
 from operator import or_
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendspark.functions import labels, numeric
@@ -18,23 +18,23 @@ UNSEEN_CATEGORY = "no stored average for this category"
 MISSING_INPUT = "a model input is missing"
 
 
-def accepted_and_rejected(requests: DataFrame, error) -> tuple[DataFrame, DataFrame]:
+def accepted_and_rejected(requests: DataFrame, error: Column) -> tuple[DataFrame, DataFrame]:
     """Split on a column expression that is null for a good request and an error text otherwise."""
     checked = requests.withColumn("error", error)
     return checked.where(F.col("error").isNull()).drop("error"), checked.where(F.col("error").isNotNull())
 
 
-def weekly_request_error():
+def weekly_request_error() -> Column:
     values = F.coalesce(F.size("weekly_spending"), F.lit(0))
     return F.when(values != 4, labels.NEEDS_FOUR_WEEKS)
 
 
-def trend_request_error():
+def trend_request_error() -> Column:
     values = F.coalesce(F.size("monthly_averages"), F.lit(0))
     return F.when(values < 1, labels.NEEDS_AVERAGES)
 
 
-def missing_input_error(inputs: list[str]):
+def missing_input_error(inputs: list[str]) -> Column:
     return F.when(reduce(or_, [F.col(name).isNull() for name in inputs]), MISSING_INPUT)
 
 
@@ -97,7 +97,8 @@ def analyse_trend(requests: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame
 # ---- anomaly check -------------------------------------------------------------------------
 
 
-def anomaly_results(df: DataFrame, decision) -> DataFrame:
+def anomaly_results(df: DataFrame, decision: Column) -> DataFrame:
+    """Flag, rounded score and message; a negative decision value means an anomaly."""
     is_anomaly = F.col("_decision") < 0
     return df.withColumn("_decision", decision).select(
         "transaction_id",
@@ -137,7 +138,8 @@ def weekly_results(df: DataFrame, predicted: str, *keys: str) -> DataFrame:
     """Forecast in money against the last week, or the mean of the four if that week is empty."""
     weeks = F.col("weekly_spending")
     floored = numeric.floor_at_zero(F.col(predicted))
-    change = numeric.percent_change_or(F.col("_predicted"), F.element_at(weeks, -1), numeric.array_mean(weeks))
+    last, mean = F.element_at(weeks, -1), numeric.array_mean(weeks)
+    change = numeric.percent_change_or(F.col("_predicted"), last, mean)
     return (
         df.withColumn("_predicted", floored)
         .withColumn("_change", change)
@@ -156,7 +158,9 @@ def with_lags(df: DataFrame, lags: list[str]) -> DataFrame:
     return df.withColumns({name: F.col("x")[i] for i, name in enumerate(lags)})
 
 
-def predict_weekly(requests: DataFrame, model: PipelineModel, lags: list[str], *keys: str) -> tuple[DataFrame, DataFrame]:
+def predict_weekly(
+    requests: DataFrame, model: PipelineModel, lags: list[str], *keys: str
+) -> tuple[DataFrame, DataFrame]:
     """Results and rejected requests."""
     good, rejected = accepted_and_rejected(requests, weekly_request_error())
     scaled = with_lags(weekly_inputs(good), lags)

@@ -139,7 +139,9 @@ def sequences_job(tx: DataFrame, path: str) -> None:
     artifacts.write_sequences(weekly.active_sequences(weekly.weekly_spend(tx)), weekly.WINDOW_SIZE, path)
 
 
-def weekly_job(spark: SparkSession, sequences_path: str, model_path: str, run_log: str, **overrides) -> Fitted | None:
+def weekly_job(
+    spark: SparkSession, sequences_path: str, model_path: str, run_log: str, **overrides
+) -> Fitted | None:
     """Stored sequences to a stored weekly model; None if there are no sequences."""
     seqs, window = artifacts.read_sequences(spark, sequences_path)
     if seqs.isEmpty():
@@ -187,7 +189,9 @@ def save_anomaly_model(model: AnomalyModel, path: str) -> None:
 def load_anomaly_model(spark: SparkSession, path: str) -> AnomalyModel:
     meta = spark.read.parquet(os.path.join(path, "meta")).first()
     nodes = spark.read.parquet(os.path.join(path, "nodes"))
-    forest = iforest.Forest(nodes, list(meta["feature_cols"]), meta["trees"], meta["sample_size"], meta["offset"])
+    forest = iforest.Forest(
+        nodes, list(meta["feature_cols"]), meta["trees"], meta["sample_size"], meta["offset"]
+    )
     return AnomalyModel(forest, spark.read.parquet(os.path.join(path, "averages")))
 
 

@@ -12,7 +12,9 @@ from spendspark.plans.scoring import check_transactions
 from spendspark.plans.training import AnomalyModel
 
 
-def read_stream(spark: SparkSession, folder: str, schema: StructType, files_per_batch: int = 1000) -> DataFrame:
+def read_stream(
+    spark: SparkSession, folder: str, schema: StructType, files_per_batch: int = 1000
+) -> DataFrame:
     """New Parquet files of a folder, as they arrive, a bounded number at a time."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(folder)

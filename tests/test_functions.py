@@ -87,12 +87,12 @@ def test_money_rounds_half_to_even(evaluate, value, expected):
 
 
 @pytest.mark.parametrize(
-    "value, reference, fallback, expected",
+    "value, base, fallback, expected",
     [(110.0, 100.0, 50.0, 10.0), (110.0, 0.0, 50.0, 120.0), (110.0, 0.0, 0.0, 0.0), (90.0, -5.0, 100.0, -10.0)],
 )
-def test_percent_change_chain(evaluate, value, reference, fallback, expected):
+def test_percent_change_chain(evaluate, value, base, fallback, expected):
     column = numeric.percent_change_or(F.col("v"), F.col("r"), F.col("f"))
-    assert evaluate(column, v=value, r=reference, f=fallback) == pytest.approx(expected)
+    assert evaluate(column, v=value, r=base, f=fallback) == pytest.approx(expected)
 
 
 @pytest.mark.parametrize(
