@@ -41,20 +41,22 @@ def weekly_spend(tx: DataFrame) -> DataFrame:
     )
 
 
-def fill_gaps(weekly: DataFrame, at_most: int | None = None) -> DataFrame:
+def _empty_after(at_most: int | None = None) -> Column:
+    """Number of empty weeks between this row and the user's next one."""
+    following = F.lead("week_end").over(_weeks())
+    empty = F.coalesce(F.datediff(following, "week_end") / 7 - 1, F.lit(0.0)).cast("int")
+    return empty if at_most is None else F.least(empty, F.lit(at_most))
+
+
+def fill_gaps(weekly: DataFrame) -> DataFrame:
     """Add the weeks without transactions, as 0, between a user's first and last week.
 
     Each row emits itself and the empty weeks up to the user's next row, so no calendar table
-    and no join is needed. ``at_most`` bounds the empty weeks emitted after one row (see
-    ``active_sequences`` for when that is exact). Other columns are per user and are repeated.
+    and no join is needed. Other columns are per user and are repeated.
     """
     others = [c for c in weekly.columns if c not in ("user_id", "week_end", "spend")]
-    following = F.lead("week_end").over(_weeks())
-    empty = F.coalesce(F.datediff(following, "week_end") / 7 - 1, F.lit(0.0)).cast("int")
-    if at_most is not None:
-        empty = F.least(empty, F.lit(at_most))
     return (
-        weekly.withColumn("empty", empty)
+        weekly.withColumn("empty", _empty_after())
         .withColumn("ahead", F.explode(F.sequence(F.lit(0), F.col("empty"))))
         .select(
             "user_id",
@@ -96,35 +98,69 @@ def normalised_series(weekly: DataFrame) -> DataFrame:
     return fill_gaps(with_scale(weekly)).withColumn("scaled", _scaled())
 
 
-def _sequences(filled: DataFrame) -> DataFrame:
-    """Four consecutive weeks ``x`` and the following week ``y``, for users with over 4 weeks."""
-    values = filled.withColumn("scaled", _scaled())
-    earlier = [F.lag("scaled", n).over(_weeks()) for n in range(WINDOW_SIZE, 0, -1)]
-    return (
-        values.select(
-            "user_id",
-            F.col("week_end").alias("target_week"),
-            F.array(*earlier).alias("x"),
-            F.col("scaled").alias("y"),
-            "scale",
+def _recent(value: str, weeks: int) -> list[Column]:
+    """The value of this week and of each of the given number of weeks before it, 0 if empty.
+
+    The n-th row before lies at least n weeks back, so only the first n rows can hold week n.
+    """
+    distance = [F.datediff("week_end", F.lag("week_end", n).over(_weeks())) for n in range(1, weeks + 1)]
+    earlier = [F.lag(value, n).over(_weeks()) for n in range(1, weeks + 1)]
+    return [F.col(value)] + [
+        F.coalesce(*[F.when(distance[n] == 7 * back, earlier[n]) for n in range(back)], F.lit(0.0))
+        for back in range(1, weeks + 1)
+    ]
+
+
+def _history_of_at_least(weeks: int, day: Column) -> Column:
+    return F.datediff(day, F.col("first_week")) >= 7 * (weeks - 1)
+
+
+def _sequences(weekly: DataFrame, at_most: int | None = None) -> DataFrame:
+    """Four consecutive weeks ``x`` and the following week ``y``, for users with over 4 weeks.
+
+    Each row looks back four weeks before the empty weeks up to the next row are emitted, so the
+    many empty weeks are neither sorted nor windowed: their values follow from that row.
+    """
+    emitted = (
+        with_scale(weekly)
+        .withColumn("scaled", _scaled())
+        .withColumns(
+            {
+                "recent": F.array(*_recent("scaled", WINDOW_SIZE)),
+                "first_week": F.min("week_end").over(_all_weeks()),
+                "empty": _empty_after(at_most),
+            }
         )
-        .where(F.col("x")[0].isNotNull())
+        .select("user_id", "week_end", "scale", "recent", "first_week", "empty")
+        .withColumn("ahead", F.explode(F.sequence(F.lit(0), F.col("empty"))))
+        .withColumn("target_week", F.date_add("week_end", F.col("ahead") * 7))
+        .where(_history_of_at_least(WINDOW_SIZE + 1, F.col("target_week")))
+    )
+
+    def before_target(weeks: int) -> Column:
+        return F.coalesce(F.get("recent", F.lit(weeks) - F.col("ahead")), F.lit(0.0))
+
+    return emitted.select(
+        "user_id",
+        "target_week",
+        F.array(*[before_target(n) for n in range(WINDOW_SIZE, 0, -1)]).alias("x"),
+        before_target(0).alias("y"),
+        "scale",
     )
 
 
 def sequences(weekly: DataFrame) -> DataFrame:
-    return _sequences(fill_gaps(with_scale(weekly)))
+    return _sequences(weekly)
 
 
 def active_sequences(weekly: DataFrame) -> DataFrame:
     """The sequences in which any of the five weeks has spending.
 
-    After four empty weeks in a row every further empty week closes an all-zero sequence, and
-    the next week with spending sees four zeros before it either way. Emitting no more than
-    four empty weeks per gap thus gives the same sequences as the dense series, at a cost that
-    grows with the transactions and not with the length of the calendar.
+    From the fifth empty week in a row on, every empty week closes an all-zero sequence, so
+    emitting no more than four empty weeks per gap gives the same sequences as the dense
+    series, at a cost that grows with the transactions and not with the length of the calendar.
     """
-    return keep_active(_sequences(fill_gaps(with_scale(weekly), at_most=WINDOW_SIZE)))
+    return keep_active(_sequences(weekly, at_most=WINDOW_SIZE))
 
 
 def keep_active(seqs: DataFrame) -> DataFrame:
@@ -135,17 +171,16 @@ def keep_active(seqs: DataFrame) -> DataFrame:
 
 def latest_weeks(weekly: DataFrame) -> DataFrame:
     """The last four weeks of each user with at least four, as the forecast input."""
-    filled = fill_gaps(weekly, at_most=WINDOW_SIZE)
-    recent = [F.lag("spend", n).over(_weeks()) for n in range(WINDOW_SIZE - 1, -1, -1)]
     return (
-        filled.select(
+        weekly.select(
             "user_id",
             F.col("week_end").alias("last_week"),
-            F.array(*recent).alias("weekly_spending"),
+            F.array(*reversed(_recent("spend", WINDOW_SIZE - 1))).alias("weekly_spending"),
+            F.min("week_end").over(_all_weeks()).alias("first_week"),
             F.lead("week_end").over(_weeks()).alias("following"),
         )
-        .where(F.col("following").isNull() & F.col("weekly_spending")[0].isNotNull())
-        .drop("following")
+        .where(F.col("following").isNull() & _history_of_at_least(WINDOW_SIZE, F.col("last_week")))
+        .drop("first_week", "following")
     )
 
 

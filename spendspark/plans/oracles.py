@@ -435,6 +435,7 @@ SELECT round_even(threshold, 9) AS threshold, count(*) FILTER (WHERE amount_vs_c
 FROM anomaly, (SELECT quantile_cont(amount_vs_category_avg, 0.05) AS threshold FROM anomaly)
 GROUP BY 1""",
     ),
+    "iforest_share": "SELECT count(*) AS n_orders, 5.0::DOUBLE AS percent FROM orders",
     "synthetic_tiny": f"""
 WITH drawn AS (SELECT c_custkey AS user_id, CAST(unnest(range(0, 10)) AS INTEGER) AS day, 1 AS k FROM customer),
 tx AS (

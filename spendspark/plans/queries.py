@@ -503,6 +503,16 @@ def iforest_flags(spark, sf_dir):
     return results
 
 
+@query
+def iforest_share(spark, sf_dir):
+    """How many orders the forest was fitted on, and its anomalies in whole percent."""
+    counts = training.anomaly_counts(training.training_flags(training.fit_anomaly(tx_orders(spark, sf_dir))))
+    return counts.select(
+        (F.col("n_anomalies") + F.col("n_normal")).alias("n_orders"),
+        F.bround("anomaly_ratio_percent", 0).alias("percent"),
+    )
+
+
 @query
 def iforest_stream(spark, sf_dir):
     """H5: the same through a file stream that stops when all files are read."""

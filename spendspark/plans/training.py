@@ -167,6 +167,11 @@ def fit_anomaly(tx: DataFrame, **overrides) -> AnomalyModel:
     return AnomalyModel(iforest.fit(features, ANOMALY_FEATURES, TRANSACTION_KEYS, n=n, **overrides), averages)
 
 
+def training_flags(model: AnomalyModel) -> DataFrame:
+    """Which training rows are anomalies, from the stored scores."""
+    return model.forest.training_scores.select((F.col("score") < model.forest.offset).alias("is_anomaly"))
+
+
 def anomaly_counts(results: DataFrame) -> DataFrame:
     """Number of anomalous and normal rows and the anomalous share in percent."""
     flag = F.col("is_anomaly")
@@ -203,8 +208,7 @@ def anomaly_job(
     tx = guards.at_least(tx, guards.MIN_ANOMALY_TRANSACTIONS, "anomaly detection", demo)
     model = fit_anomaly(tx, **overrides)
     save_anomaly_model(model, model_path)
-    flags = model.forest.training_scores.select((F.col("score") < model.forest.offset).alias("is_anomaly"))
-    metrics = anomaly_counts(flags).first().asDict()
+    metrics = anomaly_counts(training_flags(model)).first().asDict()
     params = {
         "contamination": iforest.CONTAMINATION,
         "n_estimators": model.forest.trees,
