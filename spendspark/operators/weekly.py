@@ -85,27 +85,31 @@ def user_scale(weekly: DataFrame) -> DataFrame:
     return weekly.groupBy("user_id").agg(_scale(_p95_of_positive()).alias("scale"))
 
 
+def _scale_of_user() -> Column:
+    return _scale(_p95_of_positive().over(_all_weeks()))
+
+
 def with_scale(weekly: DataFrame) -> DataFrame:
-    return weekly.withColumn("scale", _scale(_p95_of_positive().over(_all_weeks())))
+    return weekly.withColumn("scale", _scale_of_user())
 
 
-def _scaled() -> Column:
-    return clip(safe_ratio(F.col("spend"), F.col("scale")), 0.0, SCALE_CAP)
+def _scaled(spend: Column) -> Column:
+    return clip(safe_ratio(spend, F.col("scale")), 0.0, SCALE_CAP)
 
 
 def normalised_series(weekly: DataFrame) -> DataFrame:
     """Dense series with each value relative to the user's own scale, from 0 to 3."""
-    return fill_gaps(with_scale(weekly)).withColumn("scaled", _scaled())
+    return fill_gaps(with_scale(weekly)).withColumn("scaled", _scaled(F.col("spend")))
 
 
-def _recent(value: str, weeks: int) -> list[Column]:
-    """The value of this week and of each of the given number of weeks before it, 0 if empty.
+def _recent(weeks: int) -> list[Column]:
+    """Spending of this week and of each of the given number of weeks before it, 0 if empty.
 
     The n-th row before lies at least n weeks back, so only the first n rows can hold week n.
     """
     distance = [F.datediff("week_end", F.lag("week_end", n).over(_weeks())) for n in range(1, weeks + 1)]
-    earlier = [F.lag(value, n).over(_weeks()) for n in range(1, weeks + 1)]
-    return [F.col(value)] + [
+    earlier = [F.lag("spend", n).over(_weeks()) for n in range(1, weeks + 1)]
+    return [F.col("spend")] + [
         F.coalesce(*[F.when(distance[n] == 7 * back, earlier[n]) for n in range(back)], F.lit(0.0))
         for back in range(1, weeks + 1)
     ]
@@ -119,19 +123,20 @@ def _sequences(weekly: DataFrame, at_most: int | None = None) -> DataFrame:
     """Four consecutive weeks ``x`` and the following week ``y``, for users with over 4 weeks.
 
     Each row looks back four weeks before the empty weeks up to the next row are emitted, so the
-    many empty weeks are neither sorted nor windowed: their values follow from that row.
+    many empty weeks are neither sorted nor windowed: their values follow from that row. All
+    looks at other rows go through one window, and scaling follows it.
     """
     emitted = (
-        with_scale(weekly)
-        .withColumn("scaled", _scaled())
-        .withColumns(
-            {
-                "recent": F.array(*_recent("scaled", WINDOW_SIZE)),
-                "first_week": F.min("week_end").over(_all_weeks()),
-                "empty": _empty_after(at_most),
-            }
+        weekly.select(
+            "user_id",
+            "week_end",
+            _scale_of_user().alias("scale"),
+            F.array(*_recent(WINDOW_SIZE)).alias("spends"),
+            F.min("week_end").over(_all_weeks()).alias("first_week"),
+            _empty_after(at_most).alias("empty"),
         )
-        .select("user_id", "week_end", "scale", "recent", "first_week", "empty")
+        .withColumn("recent", F.array(*[_scaled(F.col("spends")[n]) for n in range(WINDOW_SIZE + 1)]))
+        .drop("spends")
         .withColumn("ahead", F.explode(F.sequence(F.lit(0), F.col("empty"))))
         .withColumn("target_week", F.date_add("week_end", F.col("ahead") * 7))
         .where(_history_of_at_least(WINDOW_SIZE + 1, F.col("target_week")))
@@ -175,7 +180,7 @@ def latest_weeks(weekly: DataFrame) -> DataFrame:
         weekly.select(
             "user_id",
             F.col("week_end").alias("last_week"),
-            F.array(*reversed(_recent("spend", WINDOW_SIZE - 1))).alias("weekly_spending"),
+            F.array(*reversed(_recent(WINDOW_SIZE - 1))).alias("weekly_spending"),
             F.min("week_end").over(_all_weeks()).alias("first_week"),
             F.lead("week_end").over(_weeks()).alias("following"),
         )

@@ -146,6 +146,7 @@ def test_windows_share_one_exchange_by_user(spark):
     seqs = weekly.active_sequences(weekly.weekly_spend(tx_orders(spark, "/root/testdata/sf0.001")))
     text = seqs._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 2 and "Join" not in text
+    assert text.count("Window [") == 1 and text.count("Sort [") == 1
 
 
 
