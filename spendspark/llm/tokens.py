@@ -12,6 +12,7 @@ import os
 import re
 import sys
 import types
+from array import array
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -27,53 +28,74 @@ UNIT_PATTERNS = {
     # White space is dropped by the tokenizer.
     "dropped": f"[^{WHITE_SPACE}]+",
 }
-# Units a worker remembers: about 100 MB.
-REMEMBERED = 400_000
+# Letters of one case pair each, the same under Unicode normalisation; most words have no others.
+LETTERS = "A-Za-zÀ-ÖØ-Þà-öø-þ"
+_PLAIN = re.compile(f"( ?)([{LETTERS}]+)([,.;:!?*$%&#|]*)").fullmatch
+# Units a worker remembers: about 120 MB.
+REMEMBERED = 600_000
 # Longer units (and unbroken texts) are encoded each time.
 LONGEST_REMEMBERED = 64
 # Characters that are split at a time.
 CHARS_AT_ONCE = 1_000_000
 
 
-def _state(path: str):
-    """Tokenizer and remembered units of this process; kept in a module so that tasks share it."""
-    held = sys.modules.setdefault("_token_state", types.ModuleType("_token_state")).__dict__
-    if path not in held:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        held[path] = (Tokenizer.from_file(path), {})
-    return held[path]
-
-
-def _encode(tokenizer, units: list[str]) -> Iterator[bytes]:
-    import numpy as np
-
-    for encoding in tokenizer.encode_batch_fast(units, add_special_tokens=False):
-        yield np.array(encoding.ids, dtype="<u4").tobytes()
-
+class _Units:
+    """A tokenizer and the ids of units it has seen."""
 
-def encoder(path: str, white_space: str) -> Callable[[list[str]], list[bytes]]:
-    """A function from texts to their ids as bytes; ``white_space`` names the unit pattern."""
-    find = re.compile(UNIT_PATTERNS[white_space]).findall
-
-    def encode(texts: list[str]) -> list[bytes]:
-        tokenizer, known = _state(path)
-        units = [find(text) for text in texts]
-        new = [u for u in set().union(*units).difference(known)]
+    def __init__(self, path: str, white_space: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.known: dict[str, bytes] = {}
+        self.spaced = white_space == "leading"
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        chars = [chr(c) for c in range(0xC0, 0xFF) if chr(c).isalpha()] + [" "]
+        self.alphabet = {ord(c): as_bytes(c)[0][0] for c in chars}
+
+    def encode(self, units: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of each unit. A word of plain letters, with or without marks after it, is one or two
+        parts that go straight to the model; all others take the tokenizer's whole way."""
+        others, tokenize = [], self.model.tokenize
+        for unit in units:
+            plain = _PLAIN(unit)
+            if not plain:
+                others.append(unit)
+                continue
+            space, word, marks = plain.groups()
+            word = (space + word).translate(self.alphabet) if self.spaced else word.lower().translate(self.alphabet)
+            ids = [x.id for x in tokenize(word)]
+            if marks:
+                ids += [x.id for x in tokenize(marks)]
+            yield unit, array("I", ids).tobytes()
+        for unit, encoding in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+            yield unit, array("I", encoding.ids).tobytes()
+
+    def texts(self, parts: list[list[str]]) -> list[bytes]:
+        known = self.known
+        new = set().union(*parts).difference(known)
         if len(known) + len(new) > REMEMBERED:
-            # The new units stay out of memory if they alone are too many; what is known starts anew.
             known.clear()
-            new = list(set().union(*units))
-        known.update(zip(new, _encode(tokenizer, new), strict=True))
-        get = known.__getitem__
-        out = [b"".join(map(get, parts)) for parts in units]
-        if len(known) > REMEMBERED or any(len(u) > LONGEST_REMEMBERED for u in new):
-            for u in new if len(known) > REMEMBERED else [u for u in new if len(u) > LONGEST_REMEMBERED]:
-                del known[u]
+            new = set().union(*parts)
+        known.update(self.encode(list(new)))
+        out = [b"".join(map(known.__getitem__, units)) for units in parts]
+        for unit in [u for u in new if len(u) > LONGEST_REMEMBERED]:
+            del known[unit]
         return out
 
-    return encode
+
+def encoder(path: str, white_space: str) -> Callable[[list[str]], list[bytes]]:
+    """A function from texts to their ids as bytes; ``white_space`` names the unit pattern.
+
+    Tokenizer and remembered units are kept in a module of the process, so that tasks share them.
+    """
+    held = sys.modules.setdefault("_token_units", types.ModuleType("_token_units")).__dict__
+    key = f"{white_space}:{path}"
+    if key not in held:
+        held[key] = _Units(path, white_space)
+    find, units = re.compile(UNIT_PATTERNS[white_space]).findall, held[key]
+    return lambda texts: units.texts([find(text) for text in texts])
 
 
 def encoded(column: pa.Array, encode: Callable[[list[str]], list[bytes]]) -> Iterator[tuple[int, bytes]]:
