@@ -102,7 +102,8 @@ def read_token_files(spark: SparkSession, path: str, where: Column | None = None
 def with_positions(stored: DataFrame) -> DataFrame:
     """Adds ``start``: the ids of all documents before each one.
 
-    The totals of the files are one short row per file; only these meet in one task.
+    The totals of the files are one short row per file; only these meet in one task. Leave out the
+    ids themselves before, since rows may be shuffled to meet the totals.
     """
     totals = stored.groupBy("part").agg(F.sum("n_tokens").alias("ids_in_part"))
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
