@@ -5,11 +5,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendspark.llm import line_dedup, near_dups, packing, token_files
-from spendspark.session import scratch_path
+from spendspark.llm import embeddings, language, line_dedup, mixing, near_dups, packing, quality_gam, token_files
+from spendspark.session import materialise, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,14 +23,46 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def fold(id_col: str, folds: int) -> Column:
+    """crc32 of the id as text, modulo ``folds``."""
+    return F.crc32(F.col(id_col).cast("string")) % folds
+
+
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(fold("id", 4) == 2, F.lit(False))
+    feats = materialise(quality_gam.text_features(table(spark, sf_dir, "documents")), "quality-features")
+    model = quality_gam.fit(feats, table(spark, sf_dir, "labels"), ~held_out, "quality")
+    scored = quality_gam.score(feats, model)
+    return scored.select(
+        F.col("id").alias("doc_id"), held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    model = language.fit(docs, ~held_out)
+    return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mixing.mix(docs, entropy_share=0.97, max_repeats=4.0)
+    return mixed.select("doc_id", "source", mixing.token_count(F.col("text")).alias("n_tokens"), "mix_copy", "mix_order")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(
         table(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"), end_id=2
     )
     stored = token_files.read_token_files(spark, path)
-    placed = token_files.with_positions(stored)
-    return placed.select("doc_id", "start", "n_tokens", token_files.ids_crc32("ids").alias("ids_crc32"))
+    summed = stored.select("doc_id", "part", "start_in_part", "n_tokens", token_files.ids_crc32("ids").alias("ids_crc32"))
+    return token_files.with_positions(summed).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +81,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_gam": op1_quality_gam,
+    "op2_language": op2_language,
+    "op3_embeddings": op3_embeddings,
+    "op4_mixing": op4_mixing,
     "op5_token_files": op5_token_files,
     "op7_near_dups": op7_near_dups,
     "op9_packing": op9_packing,
