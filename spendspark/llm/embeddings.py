@@ -104,10 +104,10 @@ def _block_task(threshold: float):
         linked = (x @ y.T >= threshold) & (a[:, None] != b[None, :])
         count = (linked * right["weight"].to_numpy()[None, :]).sum(axis=1)
         # Smallest linked id, passed on until nothing changes, connects what the matrix links.
-        root_a, root_b, most = a.copy(), b.copy(), np.iinfo(np.int64).max
+        most = np.iinfo(np.int64).max
         some_a, some_b = linked.any(axis=1), linked.any(axis=0)
         part = linked[np.ix_(some_a, some_b)]
-        ra, rb = root_a[some_a], root_b[some_b]
+        ra, rb = a[some_a], b[some_b]
         while part.size:
             na = np.minimum(ra, np.where(part, rb[None, :], most).min(axis=1))
             nb = np.minimum(rb, np.where(part, na[:, None], most).min(axis=0))

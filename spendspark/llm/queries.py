@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendspark.llm import embeddings, language, line_dedup, mixing, near_dups, packing, quality_gam, token_files
+from spendspark.llm import embeddings, language, line_dedup, mixing, near_dups, packing, quality_gam, quality_rules, token_files, toxicity
 from spendspark.session import materialise, scratch_path
 
 
@@ -65,10 +65,26 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_positions(summed).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), F.coalesce(fold("id", 3) == 1, F.lit(False))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.score_documents(docs, model)
+    return scored.select(
+        F.col("id").alias("doc_id"), held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
         table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=1, capacity=4096
@@ -86,7 +102,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_embeddings": op3_embeddings,
     "op4_mixing": op4_mixing,
     "op5_token_files": op5_token_files,
+    "op6_quality_rules": op6_quality_rules,
     "op7_near_dups": op7_near_dups,
+    "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
 }
