@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendspark.llm import textscan
@@ -173,48 +173,58 @@ def choose(scores: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarr
     return share
 
 
-def _predict_task(model):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Model(*model.value)
-        n_languages = len(known.languages)
-        for batch in batches:
-            data, offsets = textscan.text_bytes(batch.column(1))
-            for lo, hi in textscan.slices(offsets, textscan.SLICE_BYTES // 2):
-                at = offsets[lo : hi + 1]
-                part, inner = data[at[0] : at[-1]], at - at[0]
-                runs = textscan.Runs(part, inner, textscan.IS_LETTER)
-                lettered = _lettered(part, inner, batch.column(1), lo)
-                names, best = np.full(hi - lo, UNKNOWN, dtype=object), np.zeros(hi - lo)
-                shares = np.zeros((hi - lo, n_languages))
-                if n_languages:
-                    places = trigrams(part, inner)
-                    scores = np.empty((len(runs.start), n_languages))
-                    sums = np.zeros(len(part) + 1)
-                    for i in range(n_languages):
-                        np.cumsum(known.log_p[i][places], out=sums[1:])
-                        scores[:, i] = sums[runs.end] - sums[runs.start]
-                    shares = choose(scores, runs.first[:-1], runs.count)
-                    top = shares.argmax(axis=1)
-                    names[lettered] = np.array(known.languages, dtype=object)[top[lettered]]
-                    best[lettered] = shares[np.arange(hi - lo), top][lettered]
-                    shares[~lettered] = 0.0
-                kept = shares > 0
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.append(0, np.cumsum(kept.sum(axis=1))).astype(np.int32)),
-                    pa.StructArray.from_arrays(
-                        [
-                            pa.array(np.array([*known.languages, ""], dtype=object)[np.nonzero(kept)[1]], pa.string()),
-                            pa.array(shares[kept]),
-                        ],
-                        ["lang", "share"],
-                    ),
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(names, pa.string()), pa.array(np.clip(best, 0.0, 1.0)), lists],
-                    ["id", "lang_pred", "score", "mixture"],
-                )
-
-    return run
+def _judged(texts: pa.Array, known: Model) -> Iterator[pa.StructArray]:
+    """Language, share and mixture of each text, a slice of the rows at a time."""
+    data, offsets = textscan.text_bytes(texts)
+    n_languages = len(known.languages)
+    names_of = np.array([*known.languages, UNKNOWN], dtype=object)
+    for lo, hi in textscan.slices(offsets, textscan.SLICE_BYTES // 2):
+        at = offsets[lo : hi + 1]
+        part, inner = data[at[0] : at[-1]], at - at[0]
+        lettered = _lettered(part, inner, texts, lo)
+        names, best = np.full(hi - lo, UNKNOWN, dtype=object), np.zeros(hi - lo)
+        shares = np.zeros((hi - lo, n_languages))
+        if n_languages:
+            runs = textscan.Runs(part, inner, textscan.IS_LETTER)
+            places, sums = trigrams(part, inner), np.zeros(len(part) + 1)
+            scores = np.empty((len(runs.start), n_languages))
+            for i in range(n_languages):
+                np.cumsum(known.log_p[i][places], out=sums[1:])
+                scores[:, i] = sums[runs.end] - sums[runs.start]
+            shares = choose(scores, runs.first[:-1], runs.count)
+            shares[~lettered] = 0.0
+            top = shares.argmax(axis=1)
+            names[lettered] = names_of[top[lettered]]
+            best[lettered] = shares[np.arange(hi - lo), top][lettered]
+        kept = shares > 0
+        mixture = pa.ListArray.from_arrays(
+            pa.array(np.append(0, np.cumsum(kept.sum(axis=1))).astype(np.int32)),
+            pa.StructArray.from_arrays(
+                [pa.array(names_of[np.nonzero(kept)[1]], pa.string()), pa.array(shares[kept])], ["lang", "share"]
+            ),
+        )
+        yield pa.StructArray.from_arrays(
+            [pa.array(names, pa.string()), pa.array(np.clip(best, 0.0, 1.0)), mixture], ["lang_pred", "score", "mixture"]
+        )
+
+
+RESULT = "lang_pred string, score double, mixture array<struct<lang: string, share: double>>"
+
+
+def language_of(text: Column, model: Model) -> Column:
+    """A struct of lang_pred, score and mixture."""
+    sent = SparkSession.getActiveSession().sparkContext.broadcast((model.languages, model.log_p))
+
+    @F.arrow_udf(RESULT)
+    def judge(texts: pa.Array) -> pa.Array:
+        known, empty = Model(*sent.value), pa.StructArray.from_arrays(
+            [pa.array([], pa.string()), pa.array([], pa.float64()),
+             pa.array([], pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())])))],
+            ["lang_pred", "score", "mixture"],
+        )
+        return pa.concat_arrays([empty, *_judged(texts, known)])
+
+    return judge(text)
 
 
 def _lettered(data: np.ndarray, offsets: np.ndarray, texts: pa.Array, lo: int) -> np.ndarray:
@@ -233,10 +243,5 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     shares go to the language first in the alphabet. Whole texts are used, a bounded slice of rows
     at a time. An empty table gives an empty result. Other columns are not read.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.log_p))
-    kind = rows.schema["id"].dataType.simpleString()
-    out = rows.mapInArrow(
-        _predict_task(sent), f"id {kind}, lang_pred string, score double, mixture array<struct<lang: string, share: double>>"
-    )
-    return out.withColumnRenamed("id", id_col)
+    judged = docs.select(F.col(id_col), language_of(F.col(text_col), model).alias("judged"))
+    return judged.select(id_col, "judged.lang_pred", "judged.score", "judged.mixture")

@@ -62,26 +62,26 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def dedup_lines(
+def without_shared_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     min_chars: int = MIN_CHARS,
     min_docs: int = MIN_DOCS,
 ) -> DataFrame:
-    """(id, n_lines, n_dropped, kept_text) per row.
+    """(doc, n_lines, n_dropped, kept_text) per row; ``doc`` is the whole row as a struct.
 
     A line whose key has at least ``min_chars`` code points and is found in at least ``min_docs``
     documents stays only in the document with the largest id that holds it, there as often as it
     stands. Documents are told apart by id, so repeated rows count once and all fare alike.
 
     A null or empty text is one empty line. A row without an id is not counted and loses nothing.
-    An empty table gives an empty result. Other columns are not read.
+    An empty table gives an empty result. Other columns are carried along, whatever their names.
     """
     drops = dropped_positions(docs, id_col, text_col, min_chars, min_docs)
     rows = docs.select(
-        F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("text_hash"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).alias("id"),
+        text_hash(F.col(text_col)).alias("text_hash"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
     lines = F.split("text", "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("drop"))
@@ -90,9 +90,16 @@ def dedup_lines(
         rows.join(drops, ["id", "text_hash"], "left")
         .withColumn("stay", F.when(F.col("drop").isNotNull(), stay))
         .select(
-            F.col("id").alias(id_col),
+            "doc",
             F.size(lines).cast("long").alias("n_lines"),
             F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"),
             F.when(F.col("drop").isNull(), F.col("text")).otherwise(picked).alias("kept_text"),
         )
     )
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
+                min_docs: int = MIN_DOCS) -> DataFrame:
+    """(id, n_lines, n_dropped, kept_text) per row, as ``without_shared_lines`` has them."""
+    rows = without_shared_lines(docs.select(id_col, text_col), id_col, text_col, min_chars, min_docs)
+    return rows.select(F.col("doc").getField(id_col).alias(id_col), "n_lines", "n_dropped", "kept_text")

@@ -169,7 +169,7 @@ def partial_epochs(sized: DataFrame, quota: DataFrame, blocks: int) -> tuple[Dat
     return plan, materialise(ended.groupBy("row", "source").agg(F.max("taken").alias("cut_taken")), "mixing-cut")
 
 
-def mix(
+def mixed_rows(
     docs: DataFrame,
     entropy_share: float | None = None,
     max_repeats: float | None = None,
@@ -179,7 +179,7 @@ def mix(
     source_col: str = "source",
     blocks: int = BLOCKS,
 ) -> DataFrame:
-    """The documents, once for each time they are used, with ``mix_copy`` and ``mix_order``.
+    """(doc, mix_copy, mix_order): each row as a struct, once for each time it is used.
 
     mix_copy counts the uses of a document from 0. Sorted by mix_order, from 0 to 1, the copies of a
     source follow its block permutations, and every stretch holds the sources at about their weights.
@@ -187,7 +187,7 @@ def mix(
 
     Rows without a source are a source of their own. Rows that share an id and a text are used
     equally often; an id may be null. A document without words counts as one token. An empty table
-    gives an empty result. The columns of ``docs`` come back as they are, whatever their names.
+    gives an empty result. Other columns are carried along, whatever their names.
     """
     source = F.col(source_col).cast("string")
     keyed = docs.select(
@@ -212,7 +212,16 @@ def mix(
     copies = used.withColumn("mix_copy", F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1)))
     share = _place(F.col("mix_copy").cast("bigint"), F.col("block")).getField("h") / F.lit(2.0**64) + F.lit(0.5)
     return copies.select(
-        *[F.col("doc").getField(c).alias(c) for c in docs.columns],
+        "doc",
         "mix_copy",
         F.least(F.lit(1.0), (F.col("mix_copy") + share) / F.col("length")).alias("mix_order"),
     )
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """The columns of ``docs`` with mix_copy and mix_order, as ``mixed_rows`` has them.
+
+    Columns of these two names that ``docs`` has itself are replaced.
+    """
+    rows, own = mixed_rows(docs, **options), ("mix_copy", "mix_order")
+    return rows.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns if c not in own], *own)
