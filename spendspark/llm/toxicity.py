@@ -74,7 +74,7 @@ _MARKS = textscan.byte_table("!?*#@$%&")
 _STAND_INS = textscan.byte_table("@$*013457!")
 # What stands for which letter in disguised spellings.
 _PLAIN = np.arange(256, dtype=np.uint8)
-for _from, _to in zip(b"@$013457!", b"asoleasti", strict=True):
+for _from, _to in zip(b"@$013457!", b"asoieasti", strict=True):
     _PLAIN[_from] = _to
 
 
@@ -274,10 +274,12 @@ def fit(
     in_fold = F.pmod(F.xxhash64(F.lit(10), "id"), F.lit(FOLDS)) < GROW_FOLDS
     lexicon = learn_lexicon(texts.where(in_fold).select("text", "label"))
     sample = materialise(text_features(texts, lexicon, "id", "text").join(drawn, "id"), "toxic-features")
-    sizes = {r["label"]: r["n"] for r in sample.where(in_fold).groupBy("label").agg(F.count("*").alias("n")).collect()}
-    total = sum(sizes.values())
-    if len(sizes) < 2:
-        return Model(lexicon, None, None, (sizes.get(1, 0) + 1.0) / (total + 2.0))
+    sizes = sample.agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum("label"), F.lit(0)).alias("toxic"),
+        F.count_if(in_fold).alias("grown"), F.count_if(in_fold & (F.col("label") == 1)).alias("grown_toxic"),
+    ).first()
+    if sizes["grown_toxic"] in (0, sizes["grown"]):
+        return Model(lexicon, None, None, (sizes["toxic"] + 1.0) / (sizes["rows"] + 2.0))
     assembled = _assembled(sample).coalesce(4)
     trees = GBTClassifier(
         featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=RATE, maxBins=64,
