@@ -12,23 +12,27 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from spendspark import schemas
-from spendspark.operators import monthly, weekly
+from spendspark.operators import monthly, peers, weekly
 from spendspark.operators.clean import normalise
 from spendspark.plans import ingest, scoring, training
-from spendspark.session import build_session
+from spendspark.session import build_session, materialise
 from spendspark.sources import artifacts, synthetic, transactions
 from spendspark.streaming import anomaly as stream
 
 
-def load_transactions(spark: SparkSession, path: str, form: str) -> DataFrame:
-    """Normalised transactions from CSV, JSON records, or a published snapshot root."""
-    if form == "snapshot":
-        return transactions.read_snapshot(spark, path)
-    return normalise(read_raw(spark, path, form))
+def load_transactions(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """Normalised transactions from a published snapshot root, or from CSV or JSON records.
 
+    Jobs read them several times, so text is parsed once and stored.
+    """
+    if args.format == "snapshot":
+        return transactions.read_snapshot(spark, args.input)
+    return materialise(normalise(read_raw(spark, args), args.date_format), "transactions")
 
-def read_raw(spark: SparkSession, path: str, form: str) -> DataFrame:
-    return transactions.read_csv(spark, path) if form == "csv" else transactions.read_json(spark, path)
+
+def read_raw(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    read = transactions.read_csv if args.format == "csv" else transactions.read_json
+    return read(spark, args.input, args.multiline)
 
 
 def write_both(results: DataFrame, rejected: DataFrame, out: str) -> None:
@@ -38,17 +42,17 @@ def write_both(results: DataFrame, rejected: DataFrame, out: str) -> None:
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     demo = (lambda: synthetic.tiny_transactions(synthetic.demo_users(spark, 2, 101))) if args.demo else None
-    ingest.ingest_job(spark, lambda: read_raw(spark, args.input, args.format), args.out, demo)
+    ingest.ingest_job(spark, lambda: read_raw(spark, args), args.out, demo, args.date_format)
 
 
 def run_train_category(spark: SparkSession, args: argparse.Namespace) -> None:
     demo = (lambda: synthetic.seasonal_transactions(synthetic.demo_users(spark, 5))) if args.demo else None
-    tx = load_transactions(spark, args.input, args.format)
+    tx = load_transactions(spark, args)
     training.category_job(tx, args.out, args.runs, demo, **rounds(args))
 
 
 def run_sequences(spark: SparkSession, args: argparse.Namespace) -> None:
-    training.sequences_job(load_transactions(spark, args.input, args.format), args.out)
+    training.sequences_job(load_transactions(spark, args), args.out)
 
 
 def run_train_weekly(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -57,7 +61,7 @@ def run_train_weekly(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_train_anomaly(spark: SparkSession, args: argparse.Namespace) -> None:
     demo = (lambda: synthetic.outlier_transactions(synthetic.demo_users(spark, 3))) if args.demo else None
-    training.anomaly_job(load_transactions(spark, args.input, args.format), args.out, args.runs, demo)
+    training.anomaly_job(load_transactions(spark, args), args.out, args.runs, demo)
 
 
 def rounds(args: argparse.Namespace) -> dict:
@@ -68,8 +72,9 @@ def run_predict_category(spark: SparkSession, args: argparse.Namespace) -> None:
     """Requests, or with ``--transactions`` the latest month of every user and category."""
     model, _, _ = artifacts.load_model(spark, args.model)
     if args.transactions:
-        tx = load_transactions(spark, args.input, args.format)
-        requests, keys = monthly.scoring_rows(monthly.monthly_features(tx)), ("user_id", "year_month")
+        tx = load_transactions(spark, args)
+        requests = materialise(monthly.scoring_rows(monthly.monthly_features(tx)), "requests")
+        keys = ("user_id", "year_month")
     else:
         requests, keys = spark.read.schema(schemas.CATEGORY_REQUEST).json(args.input), ()
     write_both(*scoring.predict_category(requests, model, *keys), args.out)
@@ -79,14 +84,20 @@ def run_predict_weekly(spark: SparkSession, args: argparse.Namespace) -> None:
     """Requests, or with ``--transactions`` the last four weeks of every user."""
     model, lags, _ = artifacts.load_model(spark, args.model)
     if args.transactions:
-        tx = load_transactions(spark, args.input, args.format)
-        requests, keys = weekly.latest_weeks(weekly.weekly_spend(tx)), ("user_id", "last_week")
+        tx = load_transactions(spark, args)
+        requests = materialise(weekly.latest_weeks(weekly.weekly_spend(tx)), "requests")
+        keys = ("user_id", "last_week")
     else:
         requests, keys = spark.read.schema(schemas.WEEKLY_REQUEST).json(args.input), ()
     write_both(*scoring.predict_weekly(requests, model, lags, *keys), args.out)
 
 
 def run_analyse_trend(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Requests, or with ``--transactions`` every user's latest month against all users' months."""
+    if args.transactions:
+        compared = peers.with_population_mean(monthly.monthly_category(load_transactions(spark, args)))
+        scoring.deviation_results(compared, "user_id").write.parquet(os.path.join(args.out, "results"))
+        return
     requests = spark.read.schema(schemas.TREND_REQUEST).json(args.input)
     write_both(*scoring.analyse_trend(requests), args.out)
 
@@ -95,7 +106,7 @@ def run_check_anomalies(spark: SparkSession, args: argparse.Namespace) -> None:
     """Requests, or with ``--transactions`` whole transactions, whose features are derived."""
     model = training.load_anomaly_model(spark, args.model)
     if args.transactions:
-        tx = load_transactions(spark, args.input, args.format)
+        tx = load_transactions(spark, args)
         both = scoring.check_transactions(tx, model.averages, model.forest)
     else:
         requests = spark.read.schema(schemas.ANOMALY_REQUEST).json(args.input)
@@ -131,6 +142,8 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--input", required=True, help="transactions, sequences or requests")
     options.add_argument("--out", required=True, help="model, sequences, snapshot root or result folder")
     options.add_argument("--format", choices=["csv", "json", "snapshot"], default="csv", help="of transactions")
+    options.add_argument("--multiline", action="store_true", help="records may span lines")
+    options.add_argument("--date-format", help="of transactions in text files, if not ISO")
     options.add_argument("--transactions", action="store_true", help="score transactions instead of requests")
     options.add_argument("--model", help="stored model to score with")
     options.add_argument("--runs", default="runs", help="run log to append to")

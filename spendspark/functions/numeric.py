@@ -63,9 +63,9 @@ def array_mean(values: Column) -> Column:
 
 
 def scale_by_peak(values: Column) -> Column:
-    """Every element divided by the largest one (1 if that is not positive), at most 3."""
+    """Every element divided by the largest one (1 if that is not positive), at most 3; null stays null."""
     peak = peak_or_one(values)
-    return F.transform(values, lambda v: F.least(v / peak, F.lit(3.0)))
+    return F.transform(values, lambda v: F.when(v.isNotNull(), F.least(v / peak, F.lit(3.0))))
 
 
 def peak_or_one(values: Column) -> Column:

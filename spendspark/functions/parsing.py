@@ -23,19 +23,22 @@ def present(text: Column) -> Column:
     return F.when(~trimmed.isin(MISSING_TEXTS), trimmed)
 
 
-def parse_date(text: Column) -> Column:
-    """Calendar day of a date or timestamp text; missing gives null, other text raises."""
-    return F.to_date(F.nullif(present(text), F.lit("NaT")))
+def parse_date(text: Column, date_format: str | None = None) -> Column:
+    """Calendar day of a date or timestamp text; missing gives null, other text raises.
+
+    Without a format the text is an ISO date or timestamp.
+    """
+    day = F.nullif(present(text), F.lit("NaT"))
+    return F.to_date(day) if date_format is None else F.to_date(day, date_format)
 
 
 def parse_amount(text: Column) -> Column:
-    """Money with two decimals; anything that is not a plain finite number gives 0.
+    """Money with six decimals; anything that is not a plain finite number gives 0.
 
     The pattern decides what a number is, because a cast alone would also take ``12d`` or
-    ``NaN``. A number too large for the money type raises instead of turning into 0.
+    ``NaN``. A number too large for the money type gives null, and its row is rejected.
     """
-    number = F.when(text.rlike(_PLAIN_NUMBER), F.trim(text).cast(MONEY))
-    return F.coalesce(number, F.lit(0).cast(MONEY))
+    return F.when(text.rlike(_PLAIN_NUMBER), F.trim(text).try_cast(MONEY)).otherwise(F.lit(0).cast(MONEY))
 
 
 def parse_id(text: Column) -> Column:

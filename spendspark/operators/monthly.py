@@ -14,6 +14,7 @@ from pyspark.sql.window import WindowSpec
 
 from spendspark.functions.calendar import day_of_month, day_of_week, month_start
 from spendspark.functions.numeric import clip, safe_ratio
+from spendspark.operators.clean import has
 from spendspark.schemas import CATEGORY_FEATURES, CATEGORY_TARGET
 
 TREND_CAP = 5.0
@@ -23,11 +24,15 @@ def _history() -> WindowSpec:
     return W.partitionBy("user_id", "category_id").orderBy("year_month")
 
 
-def monthly_category(tx: DataFrame) -> DataFrame:
-    """Sum, count, mean, maximum of amount and mean day numbers per user, category and month."""
+def monthly_spending(tx: DataFrame) -> DataFrame:
+    """Sum, count, mean, maximum of amount and mean day numbers per user, category and month.
+
+    Transactions without a category have a row of their own: they count in the user's total.
+    """
     n = F.count("amount")
     return (
-        tx.select(
+        tx.where(has("user_id", "date"))
+        .select(
             "user_id",
             "category_id",
             month_start(F.col("date")).alias("year_month"),
@@ -47,6 +52,11 @@ def monthly_category(tx: DataFrame) -> DataFrame:
     )
 
 
+def monthly_category(tx: DataFrame) -> DataFrame:
+    """The rows of ``monthly_spending`` that have a category."""
+    return monthly_spending(tx).where(has("category_id"))
+
+
 def as_money_totals(monthly: DataFrame) -> DataFrame:
     """The exact decimal sums as the floating-point feature."""
     return monthly.withColumn("monthly_spending", F.col("spending").cast("double")).drop("spending")
@@ -62,12 +72,15 @@ def user_month_total(monthly: DataFrame) -> DataFrame:
 def with_ratio(monthly: DataFrame) -> DataFrame:
     """Adds the user's total of the month and the category's share of it.
 
+    Rows without a category count in the total and then go.
+
     The repartition is the one exchange by user that this and the history windows share.
     """
     totals = F.sum("spending").over(W.partitionBy("user_id", "year_month")).cast("double")
     return (
         monthly.repartition("user_id")
         .withColumn("total_all_categories", totals)
+        .where(has("category_id"))
         .transform(as_money_totals)
         .withColumn("category_ratio", safe_ratio(F.col("monthly_spending"), F.col("total_all_categories")))
     )
@@ -108,7 +121,7 @@ def with_history(shares: DataFrame) -> DataFrame:
 def monthly_features(tx: DataFrame) -> DataFrame:
     """All months with all 16 features and the target, complete or not."""
     return (
-        with_history(with_ratio(monthly_category(tx)))
+        with_history(with_ratio(monthly_spending(tx)))
         .select("user_id", "year_month", *CATEGORY_FEATURES, CATEGORY_TARGET)
     )
 

@@ -15,6 +15,7 @@ from pyspark.sql.window import WindowSpec
 
 from spendspark.functions.calendar import week_end
 from spendspark.functions.numeric import clip, safe_ratio
+from spendspark.operators.clean import has
 
 # Weeks per sequence, scaling percentile, cap and inactivity threshold.
 WINDOW_SIZE = 4
@@ -33,9 +34,10 @@ def _all_weeks() -> WindowSpec:
 
 
 def weekly_spend(tx: DataFrame) -> DataFrame:
-    """Sum per user and week with transactions; weeks end on Sunday."""
+    """Sum per user and week with transactions, of whatever category; weeks end on Sunday."""
     return (
-        tx.select("user_id", week_end(F.col("date")).alias("week_end"), "amount")
+        tx.where(has("user_id", "date"))
+        .select("user_id", week_end(F.col("date")).alias("week_end"), "amount")
         .groupBy("user_id", "week_end")
         .agg(F.sum("amount").cast("double").alias("spend"))
     )
@@ -72,7 +74,7 @@ def weekly_series(tx: DataFrame) -> DataFrame:
 
 
 def _scale(percentile_of_positive: Column) -> Column:
-    """At least 1; four places hold it exactly, as it lies 1/20ths between two cent amounts."""
+    """At least 1, to four places; that is exact for amounts in cents, of which it lies 1/20ths between two."""
     return F.greatest(F.coalesce(F.bround(percentile_of_positive, 4), F.lit(1.0)), F.lit(1.0))
 
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spendspark.operators.clean import normalise
+from spendspark.operators.clean import judged
+from spendspark.schemas import TRANSACTIONS
+from spendspark.session import materialise
 from spendspark.sources import transactions
 
 
@@ -16,9 +20,12 @@ def ingest_job(
     read: Callable[[], DataFrame],
     root: str,
     demo: Callable[[], DataFrame] | None = None,
+    date_format: str | None = None,
 ) -> str | None:
     """Publish the batch that ``read`` returns; an empty or missing one keeps the last snapshot.
 
+    Rows that cannot be used are added to the folder ``rejected`` below the root, with the reason.
+
     With nothing published so far a missing batch is an error, unless the caller gives demo data.
     """
     try:
@@ -30,4 +37,8 @@ def ingest_job(
         if current is None and demo is None:
             raise
         return current or transactions.publish_snapshot(demo(), root)
-    return transactions.publish_snapshot(normalise(batch), root)
+    rows = materialise(judged(batch, date_format), "landed")
+    bad = rows.where(F.col("error").isNotNull())
+    if not bad.isEmpty():
+        bad.write.mode("append").parquet(os.path.join(root, "rejected"))
+    return transactions.publish_snapshot(rows.where(F.col("error").isNull()).select(*TRANSACTIONS.names), root)

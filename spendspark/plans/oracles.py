@@ -7,7 +7,17 @@ construction instead of parsing.
 
 from __future__ import annotations
 
-from spendspark.functions import labels
+# The texts of the results, written out here so that a change of the code is noticed.
+_BELOW_AVERAGE = ("Bạn đang chi tiêu ít hơn ", "% so với mức trung bình. Rất tiết kiệm!")
+_ABOVE_AVERAGE = ("Bạn đang chi tiêu nhiều hơn ", "% so với mức trung bình. Cân nhắc điều chỉnh.")
+_AVERAGE = ("Chi tiêu của bạn nằm trong mức trung bình (", "%).")
+_WARNING = ("⚠️ Cảnh báo: Chi tiêu vượt ", "% so với xu hướng số đông!")
+_ANOMALY_FAR_ABOVE = ("Giao dịch ", "₫ cao gấp ", "x so với mức bình thường của danh mục này!")
+_ANOMALY_ABOVE = ("Giao dịch ", "₫ cao hơn đáng kể so với thói quen chi tiêu của bạn.")
+_ANOMALY_OTHER = ("Giao dịch ", "₫ có dấu hiệu bất thường về thời điểm hoặc mức chi.")
+_ANOMALY_NONE = "Giao dịch bình thường."
+_NEEDS_FOUR_WEEKS = "Cần chính xác 4 tuần dữ liệu"
+_NEEDS_AVERAGES = "Cần ít nhất 1 giá trị trung bình"
 
 LINEITEM = """tx AS (
   SELECT l_orderkey * 10 + l_linenumber AS transaction_id, l_suppkey AS user_id,
@@ -163,21 +173,21 @@ def around(texts: tuple[str, str], middle: str) -> str:
 
 
 DEVIATION_MESSAGE = (
-    f"CASE WHEN deviation < -20 THEN {around(labels.BELOW_AVERAGE, whole('abs(deviation)'))} "
+    f"CASE WHEN deviation < -20 THEN {around(_BELOW_AVERAGE, whole('abs(deviation)'))} "
     f"WHEN deviation <= 20 THEN "
-    + around(labels.AVERAGE, f"CASE WHEN deviation >= 0 THEN '+' ELSE '' END || {whole('deviation')}")
-    + f" WHEN deviation <= 50 THEN {around(labels.ABOVE_AVERAGE, whole('deviation'))} "
-    f"ELSE {around(labels.WARNING, whole('deviation'))} END"
+    + around(_AVERAGE, f"CASE WHEN deviation >= 0 THEN '+' ELSE '' END || {whole('deviation')}")
+    + f" WHEN deviation <= 50 THEN {around(_ABOVE_AVERAGE, whole('deviation'))} "
+    f"ELSE {around(_WARNING, whole('deviation'))} END"
 )
 
 _MONEY = "format('{:,}', CAST(round_even(amount, 0) AS BIGINT))"
 _RATIO = "printf('%.1f', round_even(amount_vs_category_avg, 1))"
 ANOMALY_MESSAGE = (
-    "CASE WHEN NOT is_anomaly THEN '" + labels.ANOMALY_NONE + "' WHEN amount_vs_category_avg > 3 THEN "
-    f"'{labels.ANOMALY_FAR_ABOVE[0]}' || {_MONEY} || '{labels.ANOMALY_FAR_ABOVE[1]}' || {_RATIO} "
-    f"|| '{labels.ANOMALY_FAR_ABOVE[2]}' "
-    f"WHEN amount_vs_category_avg > 2 THEN {around(labels.ANOMALY_ABOVE, _MONEY)} "
-    f"ELSE {around(labels.ANOMALY_OTHER, _MONEY)} END"
+    "CASE WHEN NOT is_anomaly THEN '" + _ANOMALY_NONE + "' WHEN amount_vs_category_avg > 3 THEN "
+    f"'{_ANOMALY_FAR_ABOVE[0]}' || {_MONEY} || '{_ANOMALY_FAR_ABOVE[1]}' || {_RATIO} "
+    f"|| '{_ANOMALY_FAR_ABOVE[2]}' "
+    f"WHEN amount_vs_category_avg > 2 THEN {around(_ANOMALY_ABOVE, _MONEY)} "
+    f"ELSE {around(_ANOMALY_OTHER, _MONEY)} END"
 )
 
 
@@ -231,9 +241,18 @@ _OUTLIER_AMOUNT = (
 )
 
 _ORDER_RECORDS = """
-SELECT transaction_id, user_id, category_id, CAST(amount AS DOUBLE) AS amount, date,
-       'ăn "sáng", ' || category_id AS note
-FROM tx WHERE transaction_id % 50 <> 0 AND transaction_id % 75 <> 0"""
+SELECT transaction_id, CASE WHEN transaction_id % 50 <> 0 THEN user_id END AS user_id, category_id,
+       CAST(amount AS DOUBLE) AS amount, date, 'ăn "sáng", ' || category_id AS note
+FROM tx WHERE transaction_id % 75 <> 0"""
+
+# Orders of which some have no user and others no category.
+ORDERS_WITH_GAPS = """tx AS (
+  SELECT o_orderkey AS transaction_id, CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS user_id,
+         CASE WHEN o_orderkey % 7 <> 0 THEN CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS category_id,
+         CAST(o_totalprice AS DECIMAL(18,2)) AS amount, CAST(o_orderdate AS DATE) AS date
+  FROM orders)"""
+
+_MISSING = "a model input is missing"
 
 _SEQUENCE_COLUMNS = "SELECT user_id, target_week, x1, x2, x3, x4, y, scale FROM "
 _MONTH_KEYS = "SELECT user_id, category_id, year_month, "
@@ -262,6 +281,95 @@ FROM orders""",
     "csv_without_header": with_ctes(ORDERS, select=_ORDER_RECORDS),
     "csv_with_header": with_ctes(ORDERS, select=_ORDER_RECORDS),
     "json_records": with_ctes(ORDERS, select=_ORDER_RECORDS),
+    "json_records_alias": with_ctes(ORDERS, select=_ORDER_RECORDS),
+    "ingest_rejects": """
+SELECT CASE WHEN o_orderkey % 30 = 0 THEN 'not a record' WHEN o_orderkey % 41 = 0 THEN 'amount out of range'
+         WHEN o_orderkey % 75 = 0 THEN 'no date' WHEN o_orderkey % 100 = 0 THEN 'neither user nor category'
+         ELSE 'usable' END AS outcome, count(*) AS n
+FROM orders GROUP BY 1""",
+    "date_format": with_ctes(
+        ORDERS,
+        select="""
+SELECT transaction_id, CASE WHEN transaction_id % 50 <> 0 THEN user_id END AS user_id, category_id,
+       CAST(CAST(amount AS DECIMAL(24,6)) + CAST(0.000125 AS DECIMAL(24,6)) AS DOUBLE) AS amount, date
+FROM tx WHERE transaction_id % 75 <> 0""",
+    ),
+    "weekly_spend_missing_keys": with_ctes(
+        ORDERS_WITH_GAPS, WEEKLY, select="SELECT * FROM weekly WHERE user_id IS NOT NULL"
+    ),
+    "monthly_features_missing_keys": with_ctes(
+        ORDERS_WITH_GAPS,
+        FEATURES,
+        select="SELECT * FROM features WHERE user_id IS NOT NULL AND category_id IS NOT NULL",
+    ),
+    "category_average_missing_keys": with_ctes(
+        ORDERS_WITH_GAPS, ANOMALY, select="SELECT * FROM averages WHERE category_id IS NOT NULL"
+    ),
+    "requests_with_gaps": with_ctes(
+        EVENTS,
+        LATEST,
+        select=f"""
+SELECT 'weekly' AS kind, '{_MISSING}' AS error, count(*) AS n FROM latest WHERE user_id % 2 = 1
+UNION ALL SELECT 'trend', '{_MISSING}', count(*) FROM latest WHERE user_id % 2 = 1 OR user_id % 6 = 2
+UNION ALL SELECT 'transaction', '{_MISSING}', count(*) FROM tx WHERE user_id % 2 = 1 OR transaction_id % 5 = 0""",
+    ),
+    "iforest_flags": "SELECT o_orderkey AS transaction_id, true AS score_agrees, true AS message_agrees, true AS in_range FROM orders",
+    "iforest_stream": f"""
+SELECT o_orderkey AS transaction_id, CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 THEN true END AS as_batch,
+  CASE WHEN o_orderkey % 5 = 0 THEN '{_MISSING}' WHEN o_orderkey % 7 = 0 THEN 'no stored average for this category' END AS error
+FROM orders""",
+    "gbt_category_quality": with_ctes(
+        LINEITEM,
+        FEATURES,
+        select=f"""
+SELECT fact, CAST(value AS DOUBLE) AS value FROM (
+  SELECT 'n_train' AS fact, count(*) FILTER (side) AS value FROM sides
+  UNION ALL SELECT 'n_test', count(*) FILTER (NOT side) FROM sides
+  UNION ALL SELECT 'n_evaluations', 4 UNION ALL SELECT 'importances', 1
+  UNION ALL SELECT 'better_rmse', 1 UNION ALL SELECT 'better_mae', 1)""",
+    ).replace("\nSELECT fact", ",\nsides AS (SELECT " + unit("42", "user_id", "category_id", "year_month") + " < 0.8::DOUBLE AS side FROM training)\nSELECT fact", 1),
+    "category_forecast": with_ctes(
+        LINEITEM,
+        FEATURES,
+        select=f"""
+SELECT user_id, category_id, year_month, CASE WHEN known THEN monthly_spending END AS current_spending,
+  CASE WHEN known THEN true END AS in_range, CASE WHEN known THEN true END AS label_agrees,
+  CASE WHEN NOT known THEN '{_MISSING}' END AS error
+FROM (SELECT *, prev_month_spending IS NOT NULL AND avg_monthly_spending_3m IS NOT NULL AND spending_trend IS NOT NULL AS known
+      FROM features WHERE next_month_spending IS NULL)""",
+    ),
+    "gbt_weekly_quality": with_ctes(
+        LINEITEM,
+        SEQUENCES,
+        select="""
+SELECT fact, CAST(value AS DOUBLE) AS value FROM (
+  SELECT 'n_train' AS fact, floor(0.8::DOUBLE * count(*)) AS value FROM active
+  UNION ALL SELECT 'n_test', count(*) - floor(0.8::DOUBLE * count(*)) FROM active
+  UNION ALL SELECT 'n_evaluations', 0 UNION ALL SELECT 'importances', 0 UNION ALL SELECT 'better_rmse', 1)""",
+    ),
+    "weekly_forecast": with_ctes(
+        LINEITEM,
+        LATEST,
+        select="""
+SELECT user_id, w1, w2, w3, w4, true AS in_range, true AS label_agrees, CAST(NULL AS VARCHAR) AS error FROM latest""",
+    ),
+    "run_log": with_ctes(
+        ORDERS,
+        FEATURES,
+        select="""
+SELECT kind, key, value FROM (VALUES
+  ('param', 'maxIter', '200'), ('param', 'stepSize', '0.05'), ('param', 'maxDepth', '5'), ('param', 'maxBins', '255'),
+  ('param', 'featureSubsetStrategy', '0.9'), ('param', 'subsamplingRate', '0.8'), ('param', 'seed', '42')) AS p(kind, key, value)
+UNION ALL SELECT 'metric', unnest(['rmse', 'mae', 'squared_error_after_50', 'squared_error_after_100',
+  'squared_error_after_150', 'squared_error_after_200', 'fi_category_id', 'fi_month', 'fi_year', 'fi_monthly_spending',
+  'fi_transaction_count', 'fi_avg_transaction', 'fi_max_transaction', 'fi_avg_day_of_week', 'fi_avg_day_of_month',
+  'fi_total_all_categories', 'fi_category_ratio', 'fi_prev_month_spending', 'fi_prev_month_count', 'fi_prev_month_ratio',
+  'fi_avg_monthly_spending_3m', 'fi_spending_trend']), 'finite'
+UNION ALL SELECT 'metric', 'n_transactions', CAST(count(*) AS VARCHAR) || '.0' FROM tx
+UNION ALL SELECT 'metric', 'n_rows', CAST(count(*) AS VARCHAR) || '.0' FROM training
+UNION ALL SELECT 'metric', 'n_train', CAST(count(*) FILTER (side) AS VARCHAR) || '.0' FROM sides
+UNION ALL SELECT 'metric', 'n_test', CAST(count(*) FILTER (NOT side) AS VARCHAR) || '.0' FROM sides""",
+    ).replace("\nSELECT kind", ",\nsides AS (SELECT " + unit("42", "user_id", "category_id", "year_month") + " < 0.8::DOUBLE AS side FROM training)\nSELECT kind", 1),
     "snapshot_after_empty_batch": with_ctes(
         ORDERS, select="SELECT transaction_id, user_id, category_id, CAST(amount AS DOUBLE) AS amount, date FROM tx"
     ),
@@ -318,7 +426,7 @@ FROM (SELECT *, {change("predicted", "w4", "mean")} AS change
         EVENTS,
         FILLED,
         select=f"""
-SELECT user_id, CAST(count(*) AS INTEGER) AS n_weeks, '{labels.NEEDS_FOUR_WEEKS}' AS error
+SELECT user_id, CAST(count(*) AS INTEGER) AS n_weeks, '{_NEEDS_FOUR_WEEKS}' AS error
 FROM filled GROUP BY 1 HAVING count(*) <> 4""",
     ),
     "monthly_category_spend": with_ctes(
@@ -401,7 +509,7 @@ SELECT user_id, category_id, CASE WHEN n > 1 THEN round_even(mean, 0) END AS pop
        CASE WHEN n > 1 THEN latest END AS user_spending,
        CASE WHEN n > 1 THEN round_even(deviation, 1) END AS deviation_percent,
        CASE WHEN n > 1 THEN {STATUS} END AS status, CASE WHEN n > 1 THEN {DEVIATION_MESSAGE} END AS message,
-       CASE WHEN n = 1 THEN '{labels.NEEDS_AVERAGES}' END AS error
+       CASE WHEN n = 1 THEN '{_NEEDS_AVERAGES}' END AS error
 FROM (
   SELECT *, CASE WHEN mean > 0 THEN (latest - mean) / mean * 100 ELSE 0.0::DOUBLE END AS deviation
   FROM (
@@ -454,12 +562,14 @@ FROM tx GROUP BY user_id""",
 # Day columns of each result; they are compared as ISO text.
 _DAYS: dict[str, list[str]] = {
     **dict.fromkeys(
-        ["date_parsing", "csv_without_header", "csv_with_header", "json_records", "snapshot_after_empty_batch"],
+        ["date_parsing", "csv_without_header", "csv_with_header", "json_records", "snapshot_after_empty_batch"]
+        + ["json_records_alias", "date_format"],
         ["date"],
     ),
     "calendar_parts": ["date", "year_month", "week_end"],
     **dict.fromkeys(
-        ["weekly_spend", "weekly_spend_gap_filled", "weekly_spend_gap_filled_events", "weekly_normalised"],
+        ["weekly_spend", "weekly_spend_gap_filled", "weekly_spend_gap_filled_events", "weekly_normalised"]
+        + ["weekly_spend_missing_keys"],
         ["week_end"],
     ),
     **dict.fromkeys(
@@ -471,7 +581,8 @@ _DAYS: dict[str, list[str]] = {
     **dict.fromkeys(
         ["monthly_category_spend", "monthly_user_total", "category_ratio", "monthly_lags", "rolling_3m_prior"]
         + ["spending_trend", "monthly_target", "monthly_training_features", "monthly_training_features_orders"]
-        + ["monthly_scoring_frame", "trend_label_category", "hashed_split_sides"],
+        + ["monthly_scoring_frame", "trend_label_category", "hashed_split_sides"]
+        + ["monthly_features_missing_keys", "category_forecast"],
         ["year_month"],
     ),
     **dict.fromkeys(

@@ -15,7 +15,7 @@ from spendspark.operators import anomaly, clean, monthly, peers, weekly
 from spendspark.operators.order_stats import exact_percentile
 from spendspark.operators.split import hashed_split, ordered_split
 from spendspark.plans import scoring, training
-from spendspark.schemas import ANOMALY_FEATURES, CATEGORY_TARGET, MONEY
+from spendspark.schemas import ANOMALY_FEATURES, CATEGORY_TARGET
 from spendspark.session import materialise, scratch_path
 from spendspark.sources import artifacts, synthetic, transactions
 from spendspark.sources.adapters import tx_events, tx_lineitem, tx_orders
@@ -24,9 +24,6 @@ from spendspark.streaming import anomaly as stream
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Boosting rounds in the quality queries; the jobs default to the full number.
-FEW_ROUNDS = 10
-
 
 def query(fn: Query) -> Query:
     """Registers a query; its days come out as ISO text, which every client shows alike."""
@@ -51,7 +48,7 @@ def spread(array: str, prefix: str, n: int = weekly.WINDOW_SIZE) -> list[Column]
 
 def _amount_texts() -> Column:
     """Sixteen ways an amount may be written, one per row by its key."""
-    exact = F.col("l_extendedprice").cast(MONEY)
+    exact = F.col("l_extendedprice").cast("decimal(18,2)")
     text, whole = exact.cast("string"), F.floor(exact).cast("string")
     variants = [
         text,
@@ -151,6 +148,76 @@ def json_records(spark, sf_dir):
     return _money_as_double(clean.normalise(transactions.read_json(spark, path)))
 
 
+@query
+def json_records_alias(spark, sf_dir):
+    """A3: records that name their day ``transaction_date``, half of them both ways."""
+    path = scratch_path(spark, "json-alias")
+    records = _order_records(spark, sf_dir).withColumn("transaction_date", F.col("date"))
+    even = F.pmod(F.col("transaction_id"), F.lit(2)) == 0
+    records.withColumn("date", F.when(even, F.col("date"))).write.json(path)
+    return _money_as_double(clean.normalise(transactions.read_json(spark, path)))
+
+
+@query
+def ingest_rejects(spark, sf_dir):
+    """Broken lines, amounts out of range, missing days and missing keys, counted by reason."""
+    path = scratch_path(spark, "json-broken")
+    key = F.col("transaction_id")
+    records = _order_records(spark, sf_dir).withColumns(
+        {
+            "amount": F.when(F.pmod(key, F.lit(41)) == 0, F.lit("1e30")).otherwise(F.col("amount").cast("string")),
+            "category_id": F.when(F.pmod(key, F.lit(100)) != 0, F.col("category_id")),
+        }
+    )
+    line = F.when(F.pmod(key, F.lit(30)) == 0, F.lit('{"transaction_id": ')).otherwise(F.to_json(F.struct(*records.columns)))
+    records.select(line.alias("value")).write.text(path)
+    judged = clean.judged(transactions.read_json(spark, path))
+    return judged.groupBy(F.coalesce("error", F.lit("usable")).alias("outcome")).agg(F.count("*").alias("n"))
+
+
+@query
+def date_format(spark, sf_dir):
+    """B1 with a format of its own, B2 with six decimals."""
+    path = scratch_path(spark, "csv-days")
+    records = _order_records(spark, sf_dir).withColumns(
+        {
+            "date": F.date_format("date", "dd.MM.yyyy"),
+            "amount": F.concat(F.col("amount").cast("decimal(18,2)").cast("string"), F.lit("0125")),
+        }
+    )
+    records.write.option("escape", '"').csv(path)
+    return _money_as_double(clean.normalise(transactions.read_csv(spark, path), "dd.MM.yyyy")).drop("note")
+
+
+def _orders_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of which some have no user and others no category."""
+    key = F.col("transaction_id")
+    return tx_orders(spark, sf_dir).withColumns(
+        {
+            "user_id": F.when(F.pmod(key, F.lit(11)) != 0, F.col("user_id")),
+            "category_id": F.when(F.pmod(key, F.lit(7)) != 0, F.col("category_id")),
+        }
+    )
+
+
+@query
+def weekly_spend_missing_keys(spark, sf_dir):
+    """A transaction without a category counts in its user's week."""
+    return weekly.weekly_spend(_orders_with_gaps(spark, sf_dir))
+
+
+@query
+def monthly_features_missing_keys(spark, sf_dir):
+    """A transaction without a category counts in its user's monthly total."""
+    return monthly.monthly_features(_orders_with_gaps(spark, sf_dir))
+
+
+@query
+def category_average_missing_keys(spark, sf_dir):
+    """A transaction without a user counts in its category's average."""
+    return anomaly.category_average(_orders_with_gaps(spark, sf_dir))
+
+
 @query
 def snapshot_after_empty_batch(spark, sf_dir):
     """A4: an empty batch leaves the published snapshot in place."""
@@ -302,6 +369,33 @@ def scoring_input_rejects(spark, sf_dir):
     return rejected.select("user_id", F.size("weekly_spending").alias("n_weeks"), "error")
 
 
+@query
+def requests_with_gaps(spark, sf_dir):
+    """Requests of which every second has a missing element or field, by kind."""
+    tx = tx_events(spark, sf_dir)
+    odd = F.pmod(F.col("user_id"), F.lit(2)) == 1
+    hole = F.lit(None).cast("double")
+    weeks = weekly.latest_weeks(_weekly(tx)).withColumn(
+        "weekly_spending",
+        F.transform("weekly_spending", lambda v, i: F.when(odd & (i == F.pmod(F.col("user_id"), F.lit(4))), hole).otherwise(v)),
+    )
+    _, bad_weeks = scoring.accepted_and_rejected(weeks, scoring.weekly_request_error())
+    users = weeks.select(
+        "user_id", F.lit(1).alias("category_id"), F.array(F.lit(1.0), F.when(~odd, 2.0)).alias("monthly_averages"),
+        F.when(F.pmod(F.col("user_id"), F.lit(6)) != 2, 3.0).alias("user_current_spending"),
+    )
+    _, bad_trends = scoring.analyse_trend(users, "user_id")
+    gaps = tx.withColumn("date", F.when(~odd, F.col("date"))).withColumn(
+        "amount", F.when(F.pmod(F.col("transaction_id"), F.lit(5)) != 0, F.col("amount"))
+    )
+    features = anomaly.anomaly_features(gaps, _averages(tx))
+    missing = scoring.missing_input_error([c for c in ANOMALY_FEATURES if c != "amount_vs_category_avg"])
+    _, bad_tx = scoring.accepted_and_rejected(features, missing)
+    kinds = {"weekly": bad_weeks, "trend": bad_trends, "transaction": bad_tx}
+    counts = [df.groupBy(F.lit(kind).alias("kind"), "error").agg(F.count("*").alias("n")) for kind, df in kinds.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 # ---- monthly -------------------------------------------------------------------------------
 
 
@@ -318,7 +412,7 @@ def monthly_category_spend(spark, sf_dir):
 @query
 def monthly_user_total(spark, sf_dir):
     """D3."""
-    return monthly.user_month_total(monthly.monthly_category(tx_lineitem(spark, sf_dir)))
+    return monthly.user_month_total(monthly.monthly_spending(tx_lineitem(spark, sf_dir)))
 
 
 @query
@@ -394,12 +488,17 @@ def naive_forecast_error(spark, sf_dir):
 def sample_counts(spark, sf_dir):
     """Transactions, monthly training rows and active sequences."""
     tx = tx_lineitem(spark, sf_dir)
-    stages = {
-        "transactions": tx,
-        "monthly_rows": monthly.training_rows(monthly.monthly_features(tx)),
-        "sequences": weekly.active_sequences(_weekly(tx)),
-    }
-    counts = [df.agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("n")) for name, df in stages.items()]
+    features = materialise(monthly.monthly_features(tx), "monthly-features")
+    counts = [
+        # Every transaction is in one of the monthly rows.
+        features.agg(F.lit("transactions").alias("stage"), F.sum("transaction_count").alias("n")),
+        *[
+            df.agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("n"))
+            for name, df in {
+                "monthly_rows": monthly.training_rows(features), "sequences": weekly.active_sequences(_weekly(tx))
+            }.items()
+        ],
+    ]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
@@ -496,11 +595,21 @@ def ratio_threshold(spark, sf_dir):
 
 @query
 def iforest_flags(spark, sf_dir):
-    """Every order scored by a forest fitted on all of them."""
-    tx = tx_orders(spark, sf_dir)
-    model = training.fit_anomaly(tx)
-    results, _ = scoring.check_transactions(tx, model.averages, model.forest)
-    return results
+    """Every order scored by a forest fitted on all of them, from the stored scores.
+
+    Which orders are flagged depends on the drawn trees; that flag, score and message agree does not.
+    """
+    model = training.fit_anomaly(tx_orders(spark, sf_dir))
+    inputs = model.forest.training_scores.drop("score")
+    rows = training.training_results(model).join(inputs, "transaction_id")
+    flag, ratio, message = F.col("is_anomaly"), F.col("amount_vs_category_avg"), F.col("message")
+    part = F.when(~flag, "bình thường.").when(ratio > 3, "cao gấp").when(ratio > 2, "đáng kể").otherwise("thời điểm")
+    return rows.select(
+        "transaction_id",
+        F.when(flag, F.col("anomaly_score") <= 0).otherwise(F.col("anomaly_score") >= 0).alias("score_agrees"),
+        F.contains(message, part).alias("message_agrees"),
+        F.col("anomaly_score").between(-1, 1).alias("in_range"),
+    )
 
 
 @query
@@ -515,16 +624,34 @@ def iforest_share(spark, sf_dir):
 
 @query
 def iforest_stream(spark, sf_dir):
-    """H5: the same through a file stream that stops when all files are read."""
+    """H5: a file stream that stops when all files are read gives each row what the batch gives it.
+
+    Every seventh order is of a category that the model has not seen, and every fifth has no day.
+    """
+    key = F.col("transaction_id")
+    known = tx_orders(spark, sf_dir)
     folder = scratch_path(spark, "stream-in")
-    tx_orders(spark, sf_dir).write.parquet(folder)
+    known.withColumns(
+        {
+            "category_id": F.when(F.pmod(key, F.lit(7)) == 0, F.lit(99)).otherwise(F.col("category_id")),
+            "date": F.when(F.pmod(key, F.lit(5)) != 0, F.col("date")),
+        }
+    ).write.parquet(folder)
     tx = spark.read.parquet(folder)
-    model = training.fit_anomaly(tx)
+    model = training.fit_anomaly(known)
     both = stream.score_stream(stream.read_stream(spark, folder, tx.schema), model)
     out = scratch_path(spark, "stream-out")
     for running in stream.write_both(*both, out, once=True):
         running.awaitTermination()
-    return spark.read.parquet(f"{out}/results")
+    results, _ = scoring.check_transactions(tx, model.averages, model.forest)
+    values = ["is_anomaly", "anomaly_score", "message"]
+    batch = results.select("transaction_id", F.struct(*values).alias("batch"))
+    streamed = spark.read.parquet(f"{out}/results").select("transaction_id", F.struct(*values).alias("stream"))
+    scored = streamed.join(batch, "transaction_id", "full").select(
+        "transaction_id", F.col("batch").eqNullSafe(F.col("stream")).alias("as_batch"), F.lit(None).cast("string").alias("error")
+    )
+    turned_away = spark.read.parquet(f"{out}/rejected").select("transaction_id", F.lit(None).cast("boolean").alias("as_batch"), "error")
+    return scored.unionByName(turned_away)
 
 
 # ---- forecasts -----------------------------------------------------------------------------
@@ -536,20 +663,37 @@ def _stored_training_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
     return features, monthly.training_rows(features)
 
 
-def _metrics_frame(spark: SparkSession, metrics: dict[str, float]) -> DataFrame:
-    rows = [(name, float(value)) for name, value in metrics.items()]
-    return spark.createDataFrame(rows, "metric string, value double")
+def _label_agrees() -> Column:
+    """Whether a trend label fits the rounded change beside it."""
+    change = F.col("change_percent")
+    return (
+        F.when(F.col("trend") == "increasing", change >= 10)
+        .when(F.col("trend") == "decreasing", change <= -10)
+        .otherwise(F.abs(change) <= 10)
+    )
+
+
+def _quality(spark: SparkSession, fitted: training.Fitted, naive: DataFrame) -> DataFrame:
+    """What is certain about a fit: sizes, evaluations, and that it beats the naive forecast on the same rows."""
+    plain = naive.first()
+    shares = [value for name, value in fitted.metrics.items() if name.startswith("fi_")]
+    facts = {
+        **fitted.counts,
+        "n_evaluations": len(fitted.evaluations),
+        "importances": round(sum(shares), 6),
+        "better_rmse": fitted.metrics["rmse"] < plain["rmse"],
+        "better_mae": fitted.metrics["mae"] < plain["mae"],
+    }
+    return spark.createDataFrame([(name, float(value)) for name, value in facts.items()], "fact string, value double")
 
 
 @query
 def gbt_category_quality(spark, sf_dir):
-    """Errors and importances, beside those of repeating the last month."""
+    """The fit with all its rounds against repeating the last month, on the held-out rows."""
     _, rows = _stored_training_rows(spark, sf_dir)
-    fitted = training.fit_category(rows, maxIter=FEW_ROUNDS)
-    naive = training.regression_error(rows, CATEGORY_TARGET, "monthly_spending").first()
-    return _metrics_frame(
-        spark, {**fitted.metrics, "naive_rmse": naive["rmse"], "naive_mae": naive["mae"]}
-    )
+    fitted = training.fit_category(rows)
+    held_out = hashed_split(rows, ["user_id", "category_id", "year_month"]).where(~F.col("is_train"))
+    return _quality(spark, fitted, training.regression_error(held_out, CATEGORY_TARGET, "monthly_spending"))
 
 
 @query
@@ -557,11 +701,15 @@ def category_forecast(spark, sf_dir):
     """A stored and reloaded model on the latest month of every user and category."""
     features, rows = _stored_training_rows(spark, sf_dir)
     path = scratch_path(spark, "category-model")
-    fitted = training.fit_category(rows, maxIter=FEW_ROUNDS)
+    fitted = training.fit_category(rows)
     artifacts.save_model(fitted.model, training.CATEGORY_FEATURES, CATEGORY_TARGET, path)
     model, _, _ = artifacts.load_model(spark, path)
-    results, _ = scoring.predict_category(monthly.scoring_rows(features), model, "user_id")
-    return results
+    results, rejected = scoring.predict_category(monthly.scoring_rows(features), model, "user_id", "year_month")
+    keys = ["user_id", "category_id", "year_month"]
+    return results.select(
+        *keys, "current_spending", (F.col("predicted_spending") >= 0).alias("in_range"), _label_agrees().alias("label_agrees"),
+        F.lit(None).cast("string").alias("error"),
+    ).unionByName(rejected.select(*keys, "error"), allowMissingColumns=True)
 
 
 def _stored_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -570,35 +718,37 @@ def _stored_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gbt_weekly_quality(spark, sf_dir):
-    """Errors on scaled weeks, beside those of the mean of the four weeks."""
+    """The fit against repeating the last week, on the held-out rows."""
     seqs = _stored_sequences(spark, sf_dir)
-    fitted = training.fit_weekly(seqs, maxIter=FEW_ROUNDS)
-    mean = seqs.withColumn("mean", numeric.array_mean(F.col("x")))
-    naive = training.regression_error(mean, "y", "mean").first()
-    return _metrics_frame(
-        spark, {**fitted.metrics, "naive_rmse": naive["rmse"], "naive_mae": naive["mae"]}
-    )
+    fitted = training.fit_weekly(seqs)
+    held_out = ordered_split(seqs).where(~F.col("is_train")).withColumn("last", F.element_at("x", -1))
+    return _quality(spark, fitted, training.regression_error(held_out, "y", "last")).where("fact <> 'better_mae'")
 
 
 @query
 def weekly_forecast(spark, sf_dir):
     """H4: the next week of every user with at least four."""
     tx = tx_lineitem(spark, sf_dir)
-    fitted = training.fit_weekly(_stored_sequences(spark, sf_dir), maxIter=FEW_ROUNDS)
-    results, _ = scoring.predict_weekly(
+    fitted = training.fit_weekly(_stored_sequences(spark, sf_dir))
+    results, rejected = scoring.predict_weekly(
         weekly.latest_weeks(_weekly(tx)), fitted.model, training.LAGS, "user_id"
     )
     return results.select(
-        "user_id", "predicted_spending", *spread("input_weeks", "w"), "trend", "change_percent"
-    )
+        "user_id", *spread("input_weeks", "w"), (F.col("predicted_spending") >= 0).alias("in_range"),
+        _label_agrees().alias("label_agrees"), F.lit(None).cast("string").alias("error"),
+    ).unionByName(rejected.select("user_id", "error"), allowMissingColumns=True)
 
 
 @query
 def run_log(spark, sf_dir):
-    """The parameters and metrics a category job leaves behind."""
+    """The parameters and counts a category job leaves behind, and which metrics."""
     model_path, log_path = scratch_path(spark, "job-model"), scratch_path(spark, "runs")
-    training.category_job(tx_orders(spark, sf_dir), model_path, log_path, maxIter=2)
-    return artifacts.read_runs(spark, log_path).select("kind", "key", "value")
+    training.category_job(tx_orders(spark, sf_dir), model_path, log_path)
+    runs = artifacts.read_runs(spark, log_path)
+    value = F.col("value")
+    fixed = (F.col("kind") == "param") | F.startswith("key", F.lit("n_"))
+    finite = F.abs(value.try_cast("double")) < F.lit(float("inf"))
+    return runs.select("kind", "key", F.when(fixed, value).when(finite, "finite").alias("value"))
 
 
 # ---- synthetic data ------------------------------------------------------------------------

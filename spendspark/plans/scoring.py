@@ -24,14 +24,19 @@ def accepted_and_rejected(requests: DataFrame, error: Column) -> tuple[DataFrame
     return checked.where(F.col("error").isNull()).drop("error"), checked.where(F.col("error").isNotNull())
 
 
+def _has_gap(array: str) -> Column:
+    return F.exists(array, lambda v: v.isNull() | F.isnan(v))
+
+
 def weekly_request_error() -> Column:
     values = F.coalesce(F.size("weekly_spending"), F.lit(0))
-    return F.when(values != 4, labels.NEEDS_FOUR_WEEKS)
+    return F.when(values != 4, labels.NEEDS_FOUR_WEEKS).when(_has_gap("weekly_spending"), MISSING_INPUT)
 
 
 def trend_request_error() -> Column:
     values = F.coalesce(F.size("monthly_averages"), F.lit(0))
-    return F.when(values < 1, labels.NEEDS_AVERAGES)
+    missing = _has_gap("monthly_averages") | F.col("category_id").isNull() | F.col("user_current_spending").isNull()
+    return F.when(values < 1, labels.NEEDS_AVERAGES).when(missing, MISSING_INPUT)
 
 
 def missing_input_error(inputs: list[str]) -> Column:
@@ -119,9 +124,10 @@ def check_requests(requests: DataFrame, forest: Forest) -> tuple[DataFrame, Data
 
 
 def check_transactions(tx: DataFrame, averages: DataFrame, forest: Forest) -> tuple[DataFrame, DataFrame]:
-    """Results, and the transactions of categories the model has not seen."""
+    """Results, and the transactions with missing inputs or of categories the model has not seen."""
+    missing = missing_input_error([name for name in ANOMALY_FEATURES if name != "amount_vs_category_avg"])
     unseen = F.when(F.col("category_avg").isNull(), UNSEEN_CATEGORY)
-    known, rejected = accepted_and_rejected(anomaly_features(tx, averages), unseen)
+    known, rejected = accepted_and_rejected(anomaly_features(tx, averages), F.coalesce(missing, unseen))
     return _scored(known, forest), rejected
 
 

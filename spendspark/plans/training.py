@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from spendspark.operators import iforest, monthly, weekly
 from spendspark.operators.anomaly import anomaly_features, category_average
+from spendspark.operators.clean import has
 from spendspark.operators.split import flag_ordered, hashed_split, ordered_split
-from spendspark.plans.scoring import with_lags
+from spendspark.plans.scoring import anomaly_results, with_lags
 from spendspark.schemas import ANOMALY_FEATURES, CATEGORY_FEATURES, CATEGORY_TARGET, TRANSACTION_KEYS
 from spendspark.session import materialise, shared_folder
 from spendspark.sources import artifacts, guards
@@ -25,13 +26,16 @@ CATEGORY_PARAMS = {
     "maxIter": 200,
     "stepSize": 0.05,
     "maxDepth": 5,
+    "maxBins": 255,
     "featureSubsetStrategy": "0.9",
     "subsamplingRate": 0.8,
     "seed": 42,
 }
-WEEKLY_PARAMS = {"maxIter": 50, "stepSize": 0.1, "maxDepth": 4, "seed": 42}
+WEEKLY_PARAMS = {"maxIter": 50, "stepSize": 0.1, "maxDepth": 4, "maxBins": 255, "seed": 42}
 VALIDATION_TAIL = 0.1
 EVALUATE_EVERY = 50
+# Training rows of a partition; their number alone decides how many there are.
+ROWS_PER_PARTITION = 20_000
 LAGS = [f"lag_{n}" for n in range(weekly.WINDOW_SIZE, 0, -1)]
 
 
@@ -41,6 +45,12 @@ class Fitted:
     metrics: dict[str, float]
     params: dict = field(default_factory=dict)
     evaluations: list[tuple[int, float]] = field(default_factory=list)
+    counts: dict[str, int] = field(default_factory=dict)
+
+    def logged(self) -> dict[str, float]:
+        """All numbers for the run log."""
+        errors = {f"squared_error_after_{n}": error for n, error in self.evaluations}
+        return {**self.metrics, **errors, **self.counts}
 
 
 def regression_error(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -63,16 +73,19 @@ def importances(model: PipelineModel) -> dict[str, float]:
 
 def _boosted(inputs: list[str], target: str, params: dict) -> Pipeline:
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
-    trees = GBTRegressor(featuresCol="features", labelCol=target, checkpointInterval=10, **params)
+    trees = GBTRegressor(
+        featuresCol="features", labelCol=target, checkpointInterval=10, maxMemoryInMB=512, cacheNodeIds=True, **params
+    )
     return Pipeline(stages=[assembler, trees])
 
 
 def _in_fixed_order(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows placed and sorted by their unique key.
+    """Rows placed and sorted by their unique key, in as many partitions as their number asks for.
 
-    Row sampling draws by position, so with this the seed alone decides which rows a tree sees.
+    Row sampling draws by position, so with this the rows and the seed decide which rows a tree
+    sees, and no setting of the cluster does.
     """
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(1, -(-rows.count() // ROWS_PER_PARTITION))
     return rows.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
@@ -90,7 +103,12 @@ def fit_category(rows: DataFrame, **overrides) -> Fitted:
     predictions = model.transform(test)
     metrics = _errors(predictions, CATEGORY_TARGET)
     metrics.update({f"fi_{name}": share for name, share in importances(model).items()})
-    return Fitted(model, metrics, params, _evaluations(model, test))
+    return Fitted(model, metrics, params, _evaluations(model, test), _side_counts(split))
+
+
+def _side_counts(split: DataFrame) -> dict[str, int]:
+    row = split.agg(F.count_if("is_train").alias("n_train"), F.count_if(~F.col("is_train")).alias("n_test")).first()
+    return row.asDict()
 
 
 def _evaluations(model: PipelineModel, test: DataFrame) -> list[tuple[int, float]]:
@@ -115,7 +133,7 @@ def fit_weekly(seqs: DataFrame, **overrides) -> Fitted:
     tailed = flag_ordered(train, 1 - VALIDATION_TAIL, "is_fit").withColumn("is_tail", ~F.col("is_fit"))
     pipeline = _boosted(LAGS, "y", {**params, "validationIndicatorCol": "is_tail"})
     model = pipeline.fit(_in_fixed_order(tailed, ["user_id", "target_week"]))
-    return Fitted(model, _errors(model.transform(test), "y"), params)
+    return Fitted(model, _errors(model.transform(test), "y"), params, counts=_side_counts(split))
 
 
 def category_job(
@@ -129,8 +147,8 @@ def category_job(
         return None
     fitted = fit_category(rows, **overrides)
     artifacts.save_model(fitted.model, CATEGORY_FEATURES, CATEGORY_TARGET, model_path)
-    counts = {"n_rows": rows.count()}
-    artifacts.log_run(spark, run_log, artifacts.new_run_id(), fitted.params, {**fitted.metrics, **counts})
+    counts = {"n_transactions": tx.count(), "n_rows": rows.count()}
+    artifacts.log_run(spark, run_log, artifacts.new_run_id(), fitted.params, {**fitted.logged(), **counts})
     return fitted
 
 
@@ -149,7 +167,7 @@ def weekly_job(
     fitted = fit_weekly(seqs, **overrides)
     artifacts.save_model(fitted.model, LAGS, "y", model_path)
     params = {"window_size": window, "aggregation": "weekly", **fitted.params}
-    artifacts.log_run(spark, run_log, artifacts.new_run_id(), params, fitted.metrics)
+    artifacts.log_run(spark, run_log, artifacts.new_run_id(), params, {**fitted.logged(), "n_sequences": seqs.count()})
     return fitted
 
 
@@ -161,10 +179,18 @@ class AnomalyModel:
 
 def fit_anomaly(tx: DataFrame, **overrides) -> AnomalyModel:
     """Category averages and a forest on the five features."""
+    tx = tx.where(has("category_id", "date", "amount"))
     averages = materialise(category_average(tx), "category-averages")
     features = anomaly_features(tx, averages)
     n = averages.agg(F.sum("transactions")).first()[0]
-    return AnomalyModel(iforest.fit(features, ANOMALY_FEATURES, TRANSACTION_KEYS, n=n, **overrides), averages)
+    keep = ("transaction_id", "amount", "amount_vs_category_avg")
+    forest = iforest.fit(features, ANOMALY_FEATURES, TRANSACTION_KEYS, n=n, keep=keep, **overrides)
+    return AnomalyModel(forest, averages)
+
+
+def training_results(model: AnomalyModel) -> DataFrame:
+    """Flag, score and message of the training rows, from the stored scores."""
+    return anomaly_results(model.forest.training_scores, F.col("score") - F.lit(model.forest.offset))
 
 
 def training_flags(model: AnomalyModel) -> DataFrame:
@@ -183,15 +209,19 @@ def anomaly_counts(results: DataFrame) -> DataFrame:
 
 
 def save_anomaly_model(model: AnomalyModel, path: str) -> None:
-    forest, spark = model.forest, model.averages.sparkSession
-    forest.nodes.write.mode("overwrite").parquet(os.path.join(path, "nodes"))
-    model.averages.write.mode("overwrite").parquet(os.path.join(path, "averages"))
+    """A new version of the model; what reads the version before is not disturbed."""
+    forest, spark, root = model.forest, model.averages.sparkSession, path
+    path = artifacts.new_version(root)
+    forest.nodes.write.parquet(os.path.join(path, "nodes"))
+    model.averages.write.parquet(os.path.join(path, "averages"))
     meta = [(forest.feature_cols, forest.trees, forest.sample_size, forest.offset)]
     schema = "feature_cols array<string>, trees int, sample_size int, offset double"
-    spark.createDataFrame(meta, schema).write.mode("overwrite").parquet(os.path.join(path, "meta"))
+    spark.createDataFrame(meta, schema).write.parquet(os.path.join(path, "meta"))
+    artifacts.publish(spark, root, path)
 
 
 def load_anomaly_model(spark: SparkSession, path: str) -> AnomalyModel:
+    path = artifacts.current_version(spark, path)
     meta = spark.read.parquet(os.path.join(path, "meta")).first()
     nodes = spark.read.parquet(os.path.join(path, "nodes"))
     forest = iforest.Forest(

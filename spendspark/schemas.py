@@ -7,9 +7,12 @@ from pyspark.sql import types as T
 # Names and order of a headerless transactions file.
 RAW_COLUMNS = ["transaction_id", "user_id", "category_id", "amount", "date", "note"]
 
+# Where a JSON reader puts the text of a line that is no record.
+CORRUPT = "corrupt_record"
+
 RAW_TRANSACTIONS = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
 
-MONEY = T.DecimalType(18, 2)
+MONEY = T.DecimalType(24, 6)
 
 TRANSACTIONS = T.StructType(
     [
@@ -45,7 +48,7 @@ CATEGORY_TARGET = "next_month_spending"
 ANOMALY_FEATURES = ["amount", "category_id", "day_of_week", "day_of_month", "amount_vs_category_avg"]
 
 # What tells transactions apart when a forest draws its samples, even if ids repeat.
-TRANSACTION_KEYS = ["transaction_id", "user_id", "category_id", "amount", "day_of_week", "day_of_month"]
+TRANSACTION_KEYS = ["transaction_id", "user_id", "category_id", "amount", "date"]
 
 _INTEGER_INPUTS = {"category_id", "month", "year", "transaction_count"}
 

@@ -24,16 +24,33 @@ def read_sequences(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     return spark.read.parquet(os.path.join(path, "sequences")), window
 
 
+def new_version(root: str) -> str:
+    return os.path.join(root, "versions", uuid.uuid4().hex)
+
+
+def publish(spark: SparkSession, root: str, version: str) -> None:
+    """Make a completely written version the current one."""
+    pointer = spark.range(1).select(F.lit(version).alias("path"), F.current_timestamp().alias("published"))
+    pointer.write.mode("append").parquet(os.path.join(root, "pointer"))
+
+
+def current_version(spark: SparkSession, root: str) -> str:
+    """Path of the latest complete version; a missing root raises Spark's own error."""
+    return spark.read.parquet(os.path.join(root, "pointer")).agg(F.max_by("path", "published")).first()[0]
+
+
 def save_model(model: PipelineModel, feature_cols: list[str], target_col: str, path: str) -> None:
-    """A fitted pipeline and its ordered inputs."""
-    model.write().overwrite().save(os.path.join(path, "model"))
-    spark = SparkSession.active()
+    """A fitted pipeline and its ordered inputs, as a new version below ``path``."""
+    spark, version = SparkSession.active(), new_version(path)
+    model.write().save(os.path.join(version, "model"))
     meta = spark.createDataFrame([(feature_cols, target_col)], "feature_cols array<string>, target_col string")
-    meta.write.mode("overwrite").parquet(os.path.join(path, "meta"))
+    meta.write.parquet(os.path.join(version, "meta"))
+    publish(spark, path, version)
 
 
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, list[str], str]:
-    """A missing path raises Spark's own error: there is nothing to score with."""
+    """The current version. A missing path raises Spark's own error: there is nothing to score with."""
+    path = current_version(spark, path)
     meta = spark.read.parquet(os.path.join(path, "meta")).first()
     return PipelineModel.load(os.path.join(path, "model")), list(meta["feature_cols"]), meta["target_col"]
 

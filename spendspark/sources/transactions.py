@@ -8,8 +8,9 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from spendspark.schemas import RAW_COLUMNS, RAW_TRANSACTIONS
+from spendspark.schemas import CORRUPT, RAW_COLUMNS, RAW_TRANSACTIONS
 
 _REQUIRED = {"user_id", "category_id", "amount", "date"}
 
@@ -18,19 +19,27 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
     """Raw text columns of a CSV file or folder, with or without a header line.
 
     The header is recognised by a ``date`` (or ``transaction_date``) column. With a header the
-    columns are taken by name, whatever their order; without one the six fixed names apply.
+    columns are taken by name, whatever their order; without one the six fixed names apply. All files
+    of a folder must have the same header, or none: Spark raises when it meets another one.
     ``multiline`` allows line breaks inside quoted notes, at the price of unsplittable files.
     """
     reader = spark.read.option("escape", '"').option("multiLine", multiline)
-    headed = reader.option("header", True).csv(path)
+    headed = reader.option("header", True).option("enforceSchema", False).csv(path)
     if {"date", "transaction_date"} & set(headed.columns):
         return by_name(headed)
     return reader.option("header", False).schema(RAW_TRANSACTIONS).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Raw text columns of landed JSON records: one per line, or lists of records."""
-    return spark.read.schema(RAW_TRANSACTIONS).option("multiLine", multiline).json(path)
+    """Raw text columns of landed JSON records: one per line, or lists of records.
+
+    ``transaction_date`` also counts as ``date``. A line that is no record keeps its text in a column
+    of its own, so that it can be rejected rather than vanish.
+    """
+    schema = T.StructType([*RAW_TRANSACTIONS, T.StructField("transaction_date", T.StringType()), T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(schema).option("multiLine", multiline).option("columnNameOfCorruptRecord", CORRUPT)
+    dated = reader.json(path).withColumn("date", F.coalesce("date", "transaction_date"))
+    return dated.select(*RAW_COLUMNS, CORRUPT)
 
 
 def by_name(df: DataFrame) -> DataFrame:

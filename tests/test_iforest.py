@@ -58,8 +58,17 @@ def test_every_tree_holds_its_whole_sample(spark):
         samples = iforest.tree_samples(frame, ["id"], n)
         counts = [r["count"] for r in samples.groupBy("tree").count().collect()]
         assert len(counts) == iforest.TREES and set(counts) == {min(256, n)}
-        if n == 60_000:
-            assert samples.select("id").distinct().count() == 25_600
+        # Each tree draws on its own from all rows.
+        drawn = samples.select("id").distinct().count()
+        assert drawn == n if n < 256 else 0.9 < drawn / (n * (1 - (1 - 256 / n) ** iforest.TREES)) < 1.1
+
+
+def test_repeated_keys_leave_no_tree_short(spark):
+    rows = spark.range(20_000).select((F.col("id") % 60).alias("key"), F.rand(3).alias("a"))
+    counts = {r["count"] for r in iforest.tree_samples(rows, ["key"], 20_000).groupBy("tree").count().collect()}
+    assert counts == {256}
+    with pytest.raises(ValueError):
+        trees.pack([(0, 0, -1, 0.0, 1.0)], 2, 8)
 
 
 def test_samples_do_not_depend_on_partitioning(points):

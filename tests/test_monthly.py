@@ -1,4 +1,7 @@
 from datetime import date
+from decimal import Decimal
+from spendspark.operators import weekly
+from spendspark.operators.anomaly import category_average
 
 import pandas as pd
 import pytest
@@ -114,12 +117,18 @@ def test_shares_of_a_month_sum_to_one(spark):
     assert sums.where(F.abs(F.col("s") - 1) > 1e-9).isEmpty()
 
 
-def test_rows_without_keys_are_dropped(spark):
+def test_each_path_drops_what_it_cannot_group(spark):
+    day = date(2025, 1, 1)
     raw = spark.createDataFrame(
-        [(1, None, 1, None, date(2025, 1, 1), None), (2, 1, None, None, date(2025, 1, 1), None), (3, 1, 1, None, None, None)],
+        [(1, None, 1, Decimal(7), day, None), (2, 1, None, Decimal(100), day, None), (3, 1, 1, Decimal(50), day, None),
+         (4, 1, 1, Decimal(9), None, None), (5, None, None, Decimal(9), day, None)],
         TRANSACTIONS,
-    )
-    assert clean.groupable(raw).isEmpty()
+    )
+    assert sorted(r.transaction_id for r in clean.groupable(raw).collect()) == [1, 2, 3]
+    assert [r.spend for r in weekly.weekly_spend(raw).collect()] == [150.0]
+    month = monthly.monthly_features(raw).first()
+    assert (month.monthly_spending, month.total_all_categories) == (50.0, 150.0)
+    assert category_average(raw).first().category_avg == 28.5
 
 
 def test_feature_columns_are_complete(spark, tx):

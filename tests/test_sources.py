@@ -5,6 +5,10 @@ from conftest import rows_of
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
+from spendspark.operators import clean
 from spendspark.operators.clean import normalise
 from spendspark.plans.ingest import ingest_job
 from spendspark.sources import artifacts, guards, synthetic, transactions
@@ -25,9 +29,35 @@ def test_headerless_csv(spark, tmp_path):
     assert [(r.transaction_id, r.user_id, r.category_id, float(r.amount), r.date, r.note) for r in tx.collect()] == [
         (1, 1, 1, 300000.0, date(2025, 1, 1), "ăn sáng"),
         (2, 1, 2, 0.0, date(2025, 1, 2), 'mua "đồ", rẻ'),
+        (3, None, 1, 5.0, date(2025, 1, 3), "x"),
+        (4, 2, None, 5.0, date(2025, 1, 3), "x"),
     ]
 
 
+def test_rejected_rows_have_reasons(spark, tmp_path):
+    text = HEADERLESS + "6,,,5,2025-01-03,x\n7,1,1,1e30,2025-01-03,x\n"
+    raw = transactions.read_csv(spark, write(tmp_path / "t.csv", text))
+    assert {r.transaction_id: r.error for r in clean.rejected(raw).collect()} == {
+        5: clean.NO_DATE, 6: clean.NO_KEY, 7: clean.TOO_LARGE,
+    }
+
+
+def test_files_with_other_headers_raise(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    write(folder / "a.csv", "user_id,category_id,amount,date\n1,2,3,2025-01-01\n")
+    write(folder / "b.csv", "category_id,user_id,amount,date\n77,4,3,2025-01-01\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        transactions.read_csv(spark, str(folder)).collect()
+
+
+def test_broken_json_lines_are_rejected(spark, tmp_path):
+    text = '{"user_id": 1, "category_id": 2, "amount": 3, "transaction_date": "2025-01-01"}\n{"user_id": \n'
+    raw = transactions.read_json(spark, write(tmp_path / "t.json", text))
+    assert [r.date for r in normalise(raw).collect()] == [date(2025, 1, 1)]
+    assert [(r.error, r.corrupt_record) for r in clean.rejected(raw).collect()] == [(clean.NOT_A_RECORD, '{"user_id": ')]
+
+
 @pytest.mark.parametrize("date_name", ["date", "transaction_date"])
 def test_csv_columns_are_taken_by_name(spark, tmp_path, date_name):
     text = f"amount,{date_name},user_id,type,category_id\n12.50,2025-1-6,7.0,expense,3\n"
