@@ -153,7 +153,8 @@ def near_duplicates(
     the smallest id reachable by links; ``kept`` marks the one document of each component.
 
     Null or blank texts have an empty set and link with nothing. A row without an id links with
-    nothing, has no component and is kept. Rows that share an id are one node of the link graph.
+    nothing, has no component and is kept. Rows that share an id each follow their own text; a text
+    without words keeps its row's id.
     Whole texts are used, whatever their length; an empty table gives an empty result. Other columns
     are not read.
     """
@@ -193,7 +194,11 @@ def _linked_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int,
     pairs = candidates.where("rep <> center").select("rep", "center").distinct()
     active = candidates.select(F.col("rep").alias("id")).distinct()
     sets = materialise(
-        texts.join(active, "id", "left_semi").mapInArrow(_set_task(k), f"id {id_type}, items array<bigint>"), "sets"
+        texts.join(active, "id", "left_semi")
+        .mapInArrow(_set_task(k), f"id {id_type}, items array<bigint>")
+        # A row that shares its id with another one may have an empty set.
+        .where(F.size("items") > 0),
+        "sets",
     )
     links = materialise(_verified(pairs, sets, percent), "verified")
     first = components(links)

@@ -30,6 +30,8 @@ CAPACITY = 4096
 GROUP_ITEMS = 50_000
 # Groups merged into one by a round.
 FAN_IN = 8
+# Rounds go on while they bring the groups down to this share.
+MOST_LEFT = 0.75
 # A bin with at most this share of its capacity free is final.
 FREE_SHARE = 0.002
 
@@ -164,10 +166,12 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_IT
         underfull = packed.where(F.col("fill") < nearly_full).groupBy("bin", "group").agg(F.first("fill").alias("size"))
         underfull = materialise(underfull, "underfull")
         left = underfull.count()
-        # As many groups as the items need, and fewer each time.
-        groups = min(-(-groups // fan_in), max(1, -(-left // group_items))) if left else 1
-        if not left:
+        # As many groups as keep each within its bound. Items that hardly became fewer are too large
+        # to meet in a bin, and then a wider group would not fit them better.
+        fewer = max(-(-groups // fan_in), -(-left // group_items))
+        if not left or fewer > MOST_LEFT * groups:
             break
+        groups = fewer
         open_ = underfull.select(F.col("bin").alias("item"), "size", F.pmod("group", F.lit(groups)).alias("group"))
         level += 1
     return items.join(where, "item")

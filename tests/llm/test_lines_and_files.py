@@ -177,6 +177,27 @@ def test_rounds_of_residual_packing_come_close_to_the_bound(spark):
     assert packing.pack_documents(frame(spark, []), WORD, end_id=1).count() == 0
 
 
+def test_items_that_share_no_bin_do_not_gather_in_one_group(spark, monkeypatch):
+    sizes = []
+    round_task = packing._round_task
+
+    def counted(capacity, level):
+        sizes.append(level)
+        return round_task(capacity, level)
+
+    monkeypatch.setattr(packing, "_round_task", counted)
+    large = spark.range(1000).select(F.col("id").alias("item"), F.lit(60).cast("bigint").alias("length"))
+    out = packing.pack(large, 100, group_items=50, fan_in=8)
+    assert out.agg(F.count_distinct("sequence_id"), F.max("offset")).first() == (1000, 0)
+    assert sizes == [0]
+    # Items that fill bins go on until few are left.
+    sizes.clear()
+    small = spark.range(2000).select(F.col("id").alias("item"), (F.col("id") % 37 + 1).alias("length"))
+    out = packing.pack(small, 100, group_items=50, fan_in=8)
+    assert out.count() == 2000 and len(sizes) > 1
+    assert out.select("sequence_id").distinct().count() <= 1.03 * -(-small.agg(F.sum("length")).first()[0] // 100)
+
+
 def test_best_fit_takes_the_fullest_bin():
     bins, offset = packing.best_fit(np.array([4, 7, 3, 6]), 10)
     assert bins.tolist() == [1, 0, 0, 1] and offset.tolist() == [6, 0, 7, 0]

@@ -109,6 +109,13 @@ def test_nulls_empties_repeats_and_case(spark):
     assert found == sorted(expected, key=str)
 
 
+def test_an_id_with_an_empty_and_a_full_text(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, ""), (1, text), (1, None), (2, text + " a"), (3, text + " b"), (4, " \n"), (4, "c " + text), (5, "alone")]
+    found = {(r["doc_id"], r["component_id"]) for r in run(spark, rows, k=4).collect()}
+    assert found == {(1, 1), (2, 1), (3, 1), (4, 1), (4, 4), (5, 5)}
+
+
 def test_a_very_long_text_and_an_empty_table(spark):
     long = " ".join(f"x{i}" for i in range(300_000))
     found = [tuple(r) for r in run(spark, [(1, long), (2, long + " end")], k=5).orderBy("doc_id").collect()]
