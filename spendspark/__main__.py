@@ -117,9 +117,8 @@ def run_check_anomalies(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_stream_anomalies(spark: SparkSession, args: argparse.Namespace) -> None:
     """Parquet files of normalised transactions, as they arrive in the input folder."""
     model = training.load_anomaly_model(spark, args.model)
-    both = stream.score_stream(stream.read_stream(spark, args.input, schemas.TRANSACTIONS), model)
-    for running in stream.write_both(*both, args.out, args.once):
-        running.awaitTermination()
+    scored = stream.score_stream(stream.read_stream(spark, args.input, schemas.TRANSACTIONS), model)
+    stream.write_scored(scored, args.out, args.once).awaitTermination()
 
 
 JOBS = {
@@ -136,6 +135,35 @@ JOBS = {
 }
 
 
+READING = {"format", "multiline", "date_format"}
+# Options that a job uses besides --input and --out; those in READING only where it reads transactions.
+USES = {
+    "ingest": READING | {"demo"},
+    "train-category": READING | {"demo", "runs", "rounds"},
+    "sequences": READING,
+    "train-weekly": {"runs", "rounds"},
+    "train-anomaly": READING | {"demo", "runs"},
+    "predict-category": READING | {"transactions", "model"},
+    "predict-weekly": READING | {"transactions", "model"},
+    "analyse-trend": READING | {"transactions"},
+    "check-anomalies": READING | {"transactions", "model"},
+    "stream-anomalies": {"model", "once"},
+}
+
+
+def checked(options: argparse.ArgumentParser, args: argparse.Namespace) -> argparse.Namespace:
+    """Ends with a message if the job would ignore an option, or lacks its model."""
+    used = USES[args.job] | {"job", "input", "out"}
+    if "transactions" in used and not args.transactions:
+        used -= READING
+    ignored = [name for name, value in vars(args).items() if name not in used and value != options.get_default(name)]
+    if ignored:
+        options.error(f"{args.job} does not use {sorted(ignored)} here")
+    if "model" in used and args.model is None:
+        options.error(f"{args.job} needs --model")
+    return args
+
+
 def parser() -> argparse.ArgumentParser:
     options = argparse.ArgumentParser(prog="spendspark", description=__doc__)
     options.add_argument("job", choices=JOBS)
@@ -154,7 +182,8 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> None:
-    args = parser().parse_args(argv)
+    options = parser()
+    args = checked(options, options.parse_args(argv))
     JOBS[args.job](build_session(f"spendspark-{args.job}"), args)
 
 

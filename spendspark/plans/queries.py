@@ -639,19 +639,18 @@ def iforest_stream(spark, sf_dir):
     ).write.parquet(folder)
     tx = spark.read.parquet(folder)
     model = training.fit_anomaly(known)
-    both = stream.score_stream(stream.read_stream(spark, folder, tx.schema), model)
+    scored = stream.score_stream(stream.read_stream(spark, folder, tx.schema), model)
     out = scratch_path(spark, "stream-out")
-    for running in stream.write_both(*both, out, once=True):
-        running.awaitTermination()
+    stream.write_scored(scored, out, once=True).awaitTermination()
+    passed, turned_away = stream.read_scored(spark, out)
     results, _ = scoring.check_transactions(tx, model.averages, model.forest)
     values = ["is_anomaly", "anomaly_score", "message"]
     batch = results.select("transaction_id", F.struct(*values).alias("batch"))
-    streamed = spark.read.parquet(f"{out}/results").select("transaction_id", F.struct(*values).alias("stream"))
-    scored = streamed.join(batch, "transaction_id", "full").select(
+    streamed = passed.select("transaction_id", F.struct(*values).alias("stream"))
+    compared = streamed.join(batch, "transaction_id", "full").select(
         "transaction_id", F.col("batch").eqNullSafe(F.col("stream")).alias("as_batch"), F.lit(None).cast("string").alias("error")
     )
-    turned_away = spark.read.parquet(f"{out}/rejected").select("transaction_id", F.lit(None).cast("boolean").alias("as_batch"), "error")
-    return scored.unionByName(turned_away)
+    return compared.unionByName(turned_away.select("transaction_id", F.lit(None).cast("boolean").alias("as_batch"), "error"))
 
 
 # ---- forecasts -----------------------------------------------------------------------------

@@ -102,11 +102,12 @@ def analyse_trend(requests: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame
 # ---- anomaly check -------------------------------------------------------------------------
 
 
-def anomaly_results(df: DataFrame, decision: Column) -> DataFrame:
+def anomaly_results(df: DataFrame, decision: Column, *more: str) -> DataFrame:
     """Flag, rounded score and message; a negative decision value means an anomaly."""
     is_anomaly = F.col("_decision") < 0
     return df.withColumn("_decision", decision).select(
         "transaction_id",
+        *more,
         is_anomaly.alias("is_anomaly"),
         numeric.score_round(F.col("_decision")).alias("anomaly_score"),
         labels.anomaly_message(is_anomaly, F.col("amount"), F.col("amount_vs_category_avg")).alias("message"),
@@ -125,12 +126,22 @@ def check_requests(requests: DataFrame, forest: Forest) -> tuple[DataFrame, Data
 
 def check_transactions(tx: DataFrame, averages: DataFrame, forest: Forest) -> tuple[DataFrame, DataFrame]:
     """Results, and the transactions with missing inputs or of categories the model has not seen."""
-    missing = missing_input_error([name for name in ANOMALY_FEATURES if name != "amount_vs_category_avg"])
-    unseen = F.when(F.col("category_avg").isNull(), UNSEEN_CATEGORY)
-    known, rejected = accepted_and_rejected(anomaly_features(tx, averages), F.coalesce(missing, unseen))
+    known, rejected = accepted_and_rejected(anomaly_features(tx, averages), _transaction_error())
     return _scored(known, forest), rejected
 
 
+def _transaction_error() -> Column:
+    missing = missing_input_error([name for name in ANOMALY_FEATURES if name != "amount_vs_category_avg"])
+    return F.coalesce(missing, F.when(F.col("category_avg").isNull(), UNSEEN_CATEGORY))
+
+
+def judged_transactions(tx: DataFrame, averages: DataFrame, forest: Forest) -> DataFrame:
+    """What ``check_transactions`` tells apart, in one table: each transaction with its result or its error."""
+    features = anomaly_features(tx, averages).withColumn("error", _transaction_error())
+    decision = F.when(F.col("error").isNull(), forest.decision())
+    return anomaly_results(features, decision, "user_id", "category_id", "amount", "date", "error")
+
+
 # ---- weekly forecast -----------------------------------------------------------------------
 
 

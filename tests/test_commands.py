@@ -8,6 +8,7 @@ from conftest import SMALL
 from spendspark.__main__ import main
 from spendspark.schemas import CATEGORY_FEATURES
 from spendspark.sources.adapters import tx_lineitem
+from spendspark.streaming import anomaly as stream
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +23,7 @@ def folders(spark, tmp_path_factory):
     log = ["--runs", path["runs"], "--rounds", "3"]
     main(["train-weekly", "--input", path["seqs"], "--out", path["weekly"], *log])
     main(["train-category", *source, "--out", path["category"], *log])
-    main(["train-anomaly", *source, "--out", path["anomaly"], *log])
+    main(["train-anomaly", *source, "--out", path["anomaly"], *log[:2]])
     return path
 
 
@@ -73,5 +74,18 @@ def test_streaming_job(spark, folders, tmp_path):
     snapshot = tx_lineitem(spark, SMALL).selectExpr("*", "cast(null as string) as note")
     snapshot.repartition(3).write.parquet(str(tmp_path / "in"))
     main(["stream-anomalies", "--input", str(tmp_path / "in"), "--model", folders["anomaly"], "--out", str(tmp_path / "out"), "--once"])
-    scored, rejected = results(spark, tmp_path / "out")
+    scored, rejected = stream.read_scored(spark, str(tmp_path / "out"))
     assert (scored.count(), rejected.count()) == (6000, 0)
+
+
+@pytest.mark.parametrize("given", [["--transactions"], ["--demo"], ["--date-format", "yyyy/MM/dd"], ["--model", "m"]])
+def test_options_that_a_job_does_not_use_are_refused(given):
+    with pytest.raises(SystemExit):
+        main(["train-weekly", "--input", "in", "--out", "out", *given])
+
+
+def test_requests_take_no_options_of_transactions():
+    with pytest.raises(SystemExit):
+        main(["check-anomalies", "--input", "in", "--out", "out", "--model", "m", "--format", "snapshot"])
+    with pytest.raises(SystemExit):
+        main(["check-anomalies", "--input", "in", "--out", "out"])

@@ -41,6 +41,19 @@ def test_query_equals_sql(spark, sql, name):
     assert plain(tuple(r) for r in got.select(columns).collect()) == plain(wanted)
 
 
+@pytest.mark.parametrize("name", ["weekly_spend_gap_filled_events", "calendar_parts", "date_parsing", "monthly_training_features_orders"])
+def test_days_do_not_move_with_the_session(spark, name):
+    want = plain(registry.queries()[name](spark, SMALL).collect())
+    before = spark.conf.get("spark.sql.session.timeZone")
+    for zone in ("Asia/Tokyo", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            assert plain(registry.queries()[name](spark, SMALL).collect()) == want
+            assert spark.conf.get("spark.sql.session.timeZone") == zone
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)
+
+
 @pytest.mark.parametrize("name", sorted(registry.queries().keys() - registry.oracle_sql().keys()))
 def test_query_without_sql_has_rows(spark, name):
     assert not registry.queries()[name](spark, SMALL).isEmpty()

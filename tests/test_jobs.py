@@ -162,24 +162,26 @@ def test_stream_equals_batch(spark, tmp_path):
     tx = spark.read.parquet(folder)
     model = training.fit_anomaly(tx, n_trees=20)
     batch, _ = scoring.check_transactions(tx, model.averages, model.forest)
-    results, _ = stream.score_stream(stream.read_stream(spark, folder, tx.schema, files_per_batch=2), model)
+    results = stream.score_stream(stream.read_stream(spark, folder, tx.schema, files_per_batch=2), model)
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     query = stream.write_stream(results, out, checkpoint, once=True)
     query.awaitTermination()
     assert len(query.recentProgress) >= 3
-    scored = spark.read.parquet(out)
+    scored = spark.read.parquet(out).select(batch.columns)
     assert scored.count() == batch.count() == 1500 and scored.exceptAll(batch).isEmpty()
     unseen = tx.limit(3).withColumn("category_id", F.lit(99))
     unseen.write.mode("append").parquet(folder)
     both = stream.score_stream(stream.read_stream(spark, folder, tx.schema), model)
-    for running in stream.write_both(*both, str(tmp_path / "both"), once=True):
-        running.awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "both" / "results")).count() == 1500
-    assert spark.read.parquet(str(tmp_path / "both" / "rejected")).count() == 3
+    stream.write_scored(both, str(tmp_path / "both"), once=True).awaitTermination()
+    passed, rejected = stream.read_scored(spark, str(tmp_path / "both"))
+    assert passed.count() == 1500 and passed.select(batch.columns).exceptAll(batch).isEmpty()
+    assert [(r.category_id, r.error) for r in rejected.collect()] == [(99, scoring.UNSEEN_CATEGORY)] * 3
     more = tx.limit(10).withColumn("transaction_id", F.col("transaction_id") + 1_000_000)
     more.write.mode("append").parquet(folder)
     stream.write_stream(results, out, checkpoint, once=True).awaitTermination()
-    assert spark.read.parquet(out).count() == 1510
+    stored = spark.read.parquet(out)
+    assert stored.where("error is null").count() == 1510
+    assert stored.where("error is not null").count() == 3
 
 
 def test_weekly_frame_feeds_the_model(spark, weekly_model):
