@@ -31,7 +31,7 @@ UNIT_PATTERNS = {
 # Letters of one case pair each, the same under Unicode normalisation; most words have no others.
 LETTERS = "A-Za-zÀ-ÖØ-Þà-öø-þ"
 _PLAIN = re.compile(f"( ?)([{LETTERS}]+)([,.;:!?*$%&#|]*)").fullmatch
-# Units a worker remembers: about 120 MB.
+# Units, and parts of units, that a worker remembers: about 120 MB each.
 REMEMBERED = 600_000
 # Longer units (and unbroken texts) are encoded each time.
 LONGEST_REMEMBERED = 64
@@ -49,6 +49,8 @@ class _Units:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
+        # Words and marks of which units consist; far fewer than units.
+        self.parts: dict[str, bytes] = {}
         self.spaced = white_space == "leading"
         as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         chars = [chr(c) for c in range(0xC0, 0xFF) if chr(c).isalpha()] + [" "]
@@ -57,18 +59,23 @@ class _Units:
     def encode(self, units: list[str]) -> Iterator[tuple[str, bytes]]:
         """Ids of each unit. A word of plain letters, with or without marks after it, is one or two
         parts that go straight to the model; all others take the tokenizer's whole way."""
-        others, tokenize = [], self.model.tokenize
+        others, parts, tokenize = [], self.parts, self.model.tokenize
+        if len(parts) > REMEMBERED:
+            parts.clear()
         for unit in units:
             plain = _PLAIN(unit)
             if not plain:
                 others.append(unit)
                 continue
             space, word, marks = plain.groups()
-            word = (space + word).translate(self.alphabet) if self.spaced else word.lower().translate(self.alphabet)
-            ids = [x.id for x in tokenize(word)]
-            if marks:
-                ids += [x.id for x in tokenize(marks)]
-            yield unit, array("I", ids).tobytes()
+            ids = b""
+            for part in (space + word if self.spaced else word.lower(), marks):
+                if not part:
+                    continue
+                if part not in parts:
+                    parts[part] = array("I", [x.id for x in tokenize(part.translate(self.alphabet))]).tobytes()
+                ids += parts[part]
+            yield unit, ids
         for unit, encoding in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
             yield unit, array("I", encoding.ids).tobytes()
 
