@@ -20,9 +20,9 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Bytes of text that are scanned at once; a longer document is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 # Bytes that are hashed at once.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _WORD_PRIME = 0x100000001B3
