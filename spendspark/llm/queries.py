@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendspark.llm import embeddings, language, line_dedup, mixing, near_dups, packing, quality_gam, quality_rules, token_files, toxicity
+from spendspark.llm import centroids, embeddings, language, line_dedup, mixing, near_dups, packing, quality_gam, quality_rules
+from spendspark.llm import spelling, syncmers, token_files, toxicity
 from spendspark.session import materialise, scratch_path
 
 
@@ -96,6 +97,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256, salt="2:")
+    return centroids.with_inertia(found).select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+def op12_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.against_edits(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gam": op1_quality_gam,
     "op2_language": op2_language,
@@ -107,4 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_centroids": op11_centroids,
+    "op12_syncmers": op12_syncmers,
+    "op13_spelling": op13_spelling,
 }
