@@ -203,13 +203,13 @@ def with_inertia(found: Clusters) -> DataFrame:
     The join is with one row per cluster, k rows at most.
     """
     spark = found.assigned.sparkSession
-    texts = [(j, ",".join(map(str, c.tolist()))) for j, c in enumerate(found.centroids)]
-    hashes = spark.createDataFrame(texts, "cluster int, cells string").select(
-        "cluster", F.sha2("cells", 256).alias("centroid_sha256")
-    )
-    sums = found.assigned.groupBy("cluster").agg(_exact_sum("distance").alias("cluster_inertia"))
-    total = sums.agg(_exact_sum("cluster_inertia").alias("inertia"))
-    per_cluster = sums.join(F.broadcast(hashes), "cluster").join(F.broadcast(total))
+    sums = found.assigned.groupBy("cluster").agg(_exact_sum("distance").alias("s")).collect()  # k rows at most
+    total = sum(row["s"] for row in sums)
+    cells = [",".join(map(str, found.centroids[row["cluster"]].tolist())) for row in sums]
+    per_cluster = spark.createDataFrame(
+        [(row["cluster"], row["s"], total, text) for row, text in zip(sums, cells, strict=True)],
+        "cluster int, cluster_inertia bigint, inertia bigint, cells string",
+    ).withColumn("centroid_sha256", F.sha2("cells", 256)).drop("cells")
     return found.assigned.join(F.broadcast(per_cluster), "cluster")
 
 

@@ -64,11 +64,11 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return bin_of, offset
 
 
-def _piece_task(path: str, white_space: str, end_id: int, capacity: int):
+def _piece_task(path: str, end_id: int, capacity: int):
     end, width = np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(path, white_space)
+        encode = tokens.encoder(path)
         for batch in batches:
             row, piece, length, crc = [], [], [], []
             for i, ids in tokens.encoded(batch.column(1), encode):
@@ -99,7 +99,6 @@ def pieces(
     tokenizer_path: str,
     end_id: int,
     capacity: int = CAPACITY,
-    white_space: str = "dropped",
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -107,7 +106,7 @@ def pieces(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        _piece_task(tokenizer_path, white_space, end_id, capacity),
+        _piece_task(tokenizer_path, end_id, capacity),
         f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint",
     )
 
@@ -178,7 +177,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_IT
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CAPACITY, white_space: str = "dropped",
+    docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CAPACITY,
     id_col: str = "doc_id", text_col: str = "text", group_items: int = GROUP_ITEMS, fan_in: int = FAN_IN,
 ) -> DataFrame:
     """Pieces of all documents with the sequence and the offset each is placed at.
@@ -188,6 +187,6 @@ def pack_documents(
     id, or have none, are packed each on their own. An empty table gives an empty result. Other columns
     are not read.
     """
-    rows = pieces(docs, tokenizer_path, end_id, capacity, white_space, id_col, text_col)
+    rows = pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col)
     stored = materialise(rows.withColumn("item", F.monotonically_increasing_id()), "pieces")
     return pack(stored, capacity, group_items, fan_in).drop("item")

@@ -37,11 +37,11 @@ ORC_OPTIONS = {
 SCHEMA = "doc_id {id}, part int, row_in_part bigint, start_in_part bigint, n_tokens bigint, ids array<int>"
 
 
-def _encode_task(path: str, white_space: str, end_id: int):
+def _encode_task(path: str, end_id: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, start, row = tokens.encoder(path, white_space), 0, 0
+        encode, start, row = tokens.encoder(path), 0, 0
         for batch in batches:
             done: list[bytes] = []
             first = held = 0
@@ -73,7 +73,6 @@ def write_token_files(
     path: str,
     tokenizer_path: str,
     end_id: int,
-    white_space: str = "leading",
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> None:
@@ -87,7 +86,7 @@ def write_token_files(
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "text")
     made = ordered.mapInArrow(
-        _encode_task(tokenizer_path, white_space, end_id),
+        _encode_task(tokenizer_path, end_id),
         f"doc_id {kind}, row_in_part bigint, start_in_part bigint, n_tokens bigint, ids array<int>",
     ).withColumn("part", F.spark_partition_id())
     made.select("doc_id", "part", "row_in_part", "start_in_part", "n_tokens", "ids").write.options(**ORC_OPTIONS).orc(path)

@@ -1,13 +1,15 @@
 """Token ids of whole texts, with each distinct unit of text encoded once per worker.
 
-The tokenizers here split a text before every run of white space (or drop the white space) and
-encode the parts on their own, so the ids of a text are the ids of its units in a row. Units
-repeat a lot; a worker keeps the ids of those it has seen, up to a fixed number, and the
-tokenizer only sees new ones. Ids stay little-endian unsigned 32-bit bytes throughout.
+Some tokenizers split a text before every run of white space (or drop the white space) and encode
+the parts on their own, so the ids of a text are the ids of its units in a row. Units repeat a lot;
+a worker keeps the ids of those it has seen, up to a fixed number, and the tokenizer only sees new
+ones. A tokenizer's file says whether it is of a kind for which this holds; any other one encodes
+whole texts. Ids stay little-endian unsigned 32-bit bytes throughout.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -31,78 +33,153 @@ UNIT_PATTERNS = {
 # Letters of one case pair each, the same under Unicode normalisation; most words have no others.
 LETTERS = "A-Za-zÀ-ÖØ-Þà-öø-þ"
 _PLAIN = re.compile(f"( ?)([{LETTERS}]+)([,.;:!?*$%&#|]*)").fullmatch
-# Units, and parts of units, that a worker remembers: about 120 MB each.
-REMEMBERED = 600_000
+# How the files of the two kinds describe what comes before the model.
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
+NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+WORD_SPLIT = {
+    "type": "Split",
+    "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+    "behavior": "Removed",
+    "invert": True,
+}
+KINDS = {
+    "leading": (None, {**BYTE_LEVEL, "use_regex": True}, None),
+    "dropped": (
+        {"type": "Sequence", "normalizers": NORMALIZERS},
+        {"type": "Sequence", "pretokenizers": [WORD_SPLIT, {**BYTE_LEVEL, "use_regex": False}]},
+        "</w>",
+    ),
+}
+# Units, and parts of units, that a worker remembers in each of two generations: about 60 MB each.
+REMEMBERED = 300_000
 # Longer units (and unbroken texts) are encoded each time.
 LONGEST_REMEMBERED = 64
 # Characters that are split at a time.
 CHARS_AT_ONCE = 1_000_000
 
 
+def kind_of(path: str) -> str | None:
+    """Which kind of white space rule a tokenizer's file describes; None if units are not sure to be apart."""
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    model = described["model"]
+    plain = model["type"] == "BPE" and not any(
+        model.get(name) for name in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")
+    )
+    # Added tokens are looked for in whole texts; within a unit the tokenizer still finds them.
+    inside = all(
+        not (token["lstrip"] or token["rstrip"] or token["single_word"])
+        and not re.search(f"[{WHITE_SPACE}]", token["content"])
+        and not _PLAIN(token["content"])
+        for token in described.get("added_tokens", [])
+    )
+    if not plain or not inside or described.get("truncation") or described.get("padding"):
+        return None
+    found = (described["normalizer"], described["pre_tokenizer"], model.get("end_of_word_suffix"))
+    return next((kind for kind, wanted in KINDS.items() if found == wanted), None)
+
+
+class _Memory:
+    """Up to twice a number of entries: what was not asked for lately is forgotten first."""
+
+    def __init__(self):
+        self.now: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def missing(self, wanted: set[str]) -> list[str]:
+        """What of the wanted is not known; what is known of older times is taken over."""
+        new = wanted.difference(self.now)
+        if len(self.now) + len(new) > REMEMBERED:
+            self.now, self.older = {}, self.now
+            new = wanted
+        if not self.older:
+            return list(new)
+        now, older, out = self.now, self.older, []
+        for key in new:
+            if key in older:
+                now[key] = older[key]
+            else:
+                out.append(key)
+        return out
+
+
 class _Units:
     """A tokenizer and the ids of units it has seen."""
 
-    def __init__(self, path: str, white_space: str):
+    def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
+        self.kind = kind_of(path)
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}
+        self.find = re.compile(UNIT_PATTERNS[self.kind]).findall if self.kind else None
+        self.known = _Memory()
         # Words and marks of which units consist; far fewer than units.
-        self.parts: dict[str, bytes] = {}
-        self.spaced = white_space == "leading"
+        self.parts = _Memory()
+        self.spaced = self.kind == "leading"
         as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        chars = [chr(c) for c in range(0xC0, 0xFF) if chr(c).isalpha()] + [" "]
+        chars = [chr(c) for c in range(0xC0, 0xFF) if chr(c).isalpha()]
         self.alphabet = {ord(c): as_bytes(c)[0][0] for c in chars}
+        self.space = as_bytes(" ")[0][0]
 
-    def encode(self, units: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Ids of each unit. A word of plain letters, with or without marks after it, is one or two
-        parts that go straight to the model; all others take the tokenizer's whole way."""
-        others, parts, tokenize = [], self.parts, self.model.tokenize
-        if len(parts) > REMEMBERED:
-            parts.clear()
+    def _split(self, units: list[str]) -> tuple[list[tuple[str, str, str]], list[str]]:
+        """Units of plain letters, with or without marks after them, as word and marks; and the others."""
+        plain, others = [], []
         for unit in units:
-            plain = _PLAIN(unit)
-            if not plain:
+            found = _PLAIN(unit)
+            if not found:
                 others.append(unit)
                 continue
-            space, word, marks = plain.groups()
-            ids = b""
-            for part in (space + word if self.spaced else word.lower(), marks):
-                if not part:
-                    continue
-                if part not in parts:
-                    parts[part] = array("I", [x.id for x in tokenize(part.translate(self.alphabet))]).tobytes()
-                ids += parts[part]
-            yield unit, ids
+            space, word, marks = found.groups()
+            if not self.spaced:
+                word = word.lower()
+            if not word.isascii():
+                word = word.translate(self.alphabet)
+            plain.append((unit, self.space + word if self.spaced and space else word, marks))
+        return plain, others
+
+    def encode(self, units: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of each unit. Words and marks go straight to the model; other units take the tokenizer's whole way."""
+        plain, others = self._split(units)
+        tokenize = self.model.tokenize
+        wanted = {word for _, word, _ in plain} | {marks for _, _, marks in plain if marks}
+        new = self.parts.missing(wanted)
+        parts = self.parts.now
+        for part in new:
+            parts[part] = array("I", [x.id for x in tokenize(part)]).tobytes()
+        for unit, word, marks in plain:
+            yield unit, parts[word] + parts[marks] if marks else parts[word]
         for unit, encoding in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
             yield unit, array("I", encoding.ids).tobytes()
 
-    def texts(self, parts: list[list[str]]) -> list[bytes]:
-        known = self.known
-        new = set().union(*parts).difference(known)
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = set().union(*parts)
-        known.update(self.encode(list(new)))
+    def texts(self, texts: list[str]) -> list[bytes]:
+        if self.find is None:
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [array("I", encoding.ids).tobytes() for encoding in found]
+        parts = [self.find(text) for text in texts]
+        new = self.known.missing(set().union(*parts))
+        known = self.known.now
+        known.update(self.encode(new))
         out = [b"".join(map(known.__getitem__, units)) for units in parts]
         for unit in [u for u in new if len(u) > LONGEST_REMEMBERED]:
             del known[unit]
         return out
 
 
-def encoder(path: str, white_space: str) -> Callable[[list[str]], list[bytes]]:
-    """A function from texts to their ids as bytes; ``white_space`` names the unit pattern.
+def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
+    """A function from texts to their ids as bytes.
 
     Tokenizer and remembered units are kept in a module of the process, so that tasks share them.
     """
     held = sys.modules.setdefault("_token_units", types.ModuleType("_token_units")).__dict__
-    key = f"{white_space}:{path}"
-    if key not in held:
-        held[key] = _Units(path, white_space)
-    find, units = re.compile(UNIT_PATTERNS[white_space]).findall, held[key]
-    return lambda texts: units.texts([find(text) for text in texts])
+    if path not in held:
+        held[path] = _Units(path)
+    return held[path].texts
 
 
 def encoded(column: pa.Array, encode: Callable[[list[str]], list[bytes]]) -> Iterator[tuple[int, bytes]]:

@@ -8,12 +8,12 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from spendspark.llm import tokens
 
-KINDS = [("byte_bpe_50k.json", "leading"), ("word_bpe_49k.json", "dropped")]
-TOKENIZERS = {name: Tokenizer.from_file(public_tokenizers.path(name)) for name, _ in KINDS}
+KINDS = {"byte_bpe_50k.json": "leading", "word_bpe_49k.json": "dropped"}
+TOKENIZERS = {name: Tokenizer.from_file(public_tokenizers.path(name)) for name in KINDS}
 ODD = [
     "", " ", "\n\n", "a  b", "\ta  b", "don't I'LL we've", "x<|endoftext|>y <|startoftext|>", "ça va, Éa! ß ẞ İI ſt ÿŸ µ",
     "é ́x", "a\x1cb !\x1c!", "word,. word... (word) 12ab 3.5", "日本語 текст 🙂👍🏽", "foo** bar*** ###x", "end ",
@@ -22,8 +22,8 @@ ODD = [
 
 
 def check(texts):
-    for name, white_space in KINDS:
-        encode = tokens.encoder(public_tokenizers.path(name), white_space)
+    for name in KINDS:
+        encode = tokens.encoder(public_tokenizers.path(name))
         for text, ids in zip(texts, encode(texts), strict=True):
             expected = TOKENIZERS[name].encode(text, add_special_tokens=False).ids
             assert np.frombuffer(ids, "<u4").tolist() == expected, (name, text)
@@ -58,3 +58,28 @@ def test_rows_keep_their_numbers(monkeypatch, limit):
     column = pa.array(["one two", None, "", "three", "four five"])
     found = list(tokens.encoded(column, lambda texts: [t.encode() for t in texts]))
     assert found == [(0, b"one two"), (1, b""), (2, b""), (3, b"three"), (4, b"four five")]
+
+
+def test_kinds_are_read_from_the_files():
+    assert {name: tokens.kind_of(public_tokenizers.path(name)) for name in KINDS} == KINDS
+
+
+def other_tokenizers():
+    """Kinds without short cuts: cased words, a prefix space, and an added token of letters."""
+    cased = Tokenizer(models.WordLevel({"[UNK]": 0, "Paris": 1, "paris": 2, "is": 3, "BIG": 4, "big": 5}, unk_token="[UNK]"))
+    cased.pre_tokenizer = pre_tokenizers.Whitespace()
+    spaced = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    spaced.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
+    lettered = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    lettered.add_tokens(["paris", "big b"])
+    return [cased, spaced, lettered]
+
+
+@pytest.mark.parametrize("number", range(3))
+def test_any_other_tokenizer_encodes_whole_texts(tmp_path, number):
+    tokenizer, path = other_tokenizers()[number], str(tmp_path / "other.json")
+    tokenizer.save(path)
+    assert tokens.kind_of(path) is None
+    texts = ["Paris is BIG", "paris is big", "big big bad", "", *ODD]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in tokens.encoder(path)(texts)]
+    assert got == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
