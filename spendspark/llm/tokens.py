@@ -129,33 +129,42 @@ class _Units:
 
     def _split(self, units: list[str]) -> tuple[list[tuple[str, str, str]], list[str]]:
         """Units of plain letters, with or without marks after them, as word and marks; and the others."""
-        plain, others = [], []
+        plain, others, spaced, start = [], [], self.spaced, self.space
         for unit in units:
+            if unit.isascii():  # most units are one word of plain letters
+                if unit.isalpha():
+                    plain.append((unit, unit if spaced else unit.lower(), ""))
+                    continue
+                if unit[0] == " " and unit[1:].isalpha():
+                    plain.append((unit, start + unit[1:], ""))
+                    continue
             found = _PLAIN(unit)
             if not found:
                 others.append(unit)
                 continue
             space, word, marks = found.groups()
-            if not self.spaced:
+            if not spaced:
                 word = word.lower()
             if not word.isascii():
                 word = word.translate(self.alphabet)
-            plain.append((unit, self.space + word if self.spaced and space else word, marks))
+            plain.append((unit, start + word if space else word, marks))
         return plain, others
 
-    def encode(self, units: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Ids of each unit. Words and marks go straight to the model; other units take the tokenizer's whole way."""
+    def learn(self, units: list[str], known: dict[str, bytes]) -> None:
+        """Adds the ids of each unit. Words and marks go straight to the model; other units take the tokenizer's whole way."""
         plain, others = self._split(units)
         tokenize = self.model.tokenize
-        wanted = {word for _, word, _ in plain} | {marks for _, _, marks in plain if marks}
+        wanted = {word for _, word, _ in plain}
+        wanted.update(marks for _, _, marks in plain)
+        wanted.discard("")
         new = self.parts.missing(wanted)
         parts = self.parts.now
         for part in new:
             parts[part] = array("I", [x.id for x in tokenize(part)]).tobytes()
         for unit, word, marks in plain:
-            yield unit, parts[word] + parts[marks] if marks else parts[word]
+            known[unit] = parts[word] + parts[marks] if marks else parts[word]
         for unit, encoding in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
-            yield unit, array("I", encoding.ids).tobytes()
+            known[unit] = array("I", encoding.ids).tobytes()
 
     def texts(self, texts: list[str]) -> list[bytes]:
         if self.find is None:
@@ -164,7 +173,7 @@ class _Units:
         parts = [self.find(text) for text in texts]
         new = self.known.missing(set().union(*parts))
         known = self.known.now
-        known.update(self.encode(new))
+        self.learn(new, known)
         out = [b"".join(map(known.__getitem__, units)) for units in parts]
         for unit in [u for u in new if len(u) > LONGEST_REMEMBERED]:
             del known[unit]
