@@ -145,6 +145,64 @@ anomaly AS (
   FROM tx JOIN averages USING (category_id))"""
 
 
+def forest(n_trees: int = 100, size: int = 256, seed: int = 42) -> str:
+    """The same forest as the engine's on the table ``anomaly``: samples by hash, one table for each level, and scores.
+
+    Needs user and day beside the features; ``flags`` is the result.
+    """
+    prime, limit = 2147483647, (size - 1).bit_length()
+    typical = "CASE WHEN {0} <= 1 THEN 0.0::DOUBLE WHEN {0} = 2 THEN 1.0::DOUBLE ELSE 2 * (ln({0} - 1) + 0.5772156649::DOUBLE) - 2.0::DOUBLE * ({0} - 1) / {0} END"
+    hashed = f"md5('{seed}|' || concat_ws('|', transaction_id, user_id, category_id, CAST(amount AS DECIMAL(28,6)), date))"
+    numbers = [1, 2, 3, 4, 5]
+    lows, highs = ("[" + ", ".join(f"{f}(v[{i}])" for i in numbers) + "]" for f in ("min", "max"))
+    ctes = [
+        f"""maps AS (
+  SELECT * FROM (WITH RECURSIVE m(tree, a, b) AS (
+    SELECT 0, 48271::BIGINT, 16807::BIGINT UNION ALL SELECT tree + 1, a * 48271 % {prime}, b * 16807 % {prime} FROM m WHERE tree < {n_trees - 1})
+    SELECT * FROM m)),
+points AS MATERIALIZED (
+  SELECT f.*, CAST([amount, category_id, day_of_week, day_of_month, amount_vs_category_avg] AS DOUBLE[]) AS v, {hashed} AS digits
+  FROM (SELECT a.*, t.user_id, t.date FROM anomaly a JOIN tx t USING (transaction_id)) f),
+rows0 AS MATERIALIZED (
+  SELECT tree, 0::BIGINT AS slot, v FROM (
+    SELECT tree, v, row_number() OVER (PARTITION BY tree ORDER BY (CAST('0x' || substr(digits, 14, 7) AS BIGINT) * a + b) % {prime},
+      digits, transaction_id, user_id, category_id, amount, date) AS place FROM points, maps)
+  WHERE place <= {size}),
+depths AS (SELECT greatest(ceil(log2(greatest(count(*), 2))), 1) AS most, count(*) AS held FROM rows0 WHERE tree = 0)"""
+    ]
+    for depth in range(limit + 1):
+        leaf = f"len(varying) = 0 OR {depth} >= (SELECT most FROM depths)"
+        pick = f"varying[1 + CAST(floor({unit(str(seed), 'tree', 'slot', chr(39) + 'feature' + chr(39))} * len(varying)) AS BIGINT)]"
+        cut = f"lo[feature] + {unit(str(seed), 'tree', 'slot', chr(39) + 'cut' + chr(39))} * (hi[feature] - lo[feature])"
+        ctes.append(f"""nodes{depth} AS MATERIALIZED (
+  SELECT tree, slot, feature, CASE WHEN feature IS NULL THEN NULL WHEN {cut} < hi[feature] THEN {cut} ELSE lo[feature] END AS threshold,
+    CASE WHEN feature IS NULL THEN CAST(round(({depth} + {typical.format("n")}) * 1e9::DOUBLE) AS BIGINT) END AS path
+  FROM (SELECT *, CASE WHEN {leaf} THEN NULL ELSE {pick} END AS feature FROM (
+    SELECT *, list_filter({numbers}, lambda i: lo[i] < hi[i]) AS varying FROM (
+      SELECT tree, slot, count(*) AS n, {lows} AS lo, {highs} AS hi FROM rows{depth} GROUP BY tree, slot)))),
+rows{depth + 1} AS MATERIALIZED (
+  SELECT r.tree, 2 * r.slot + CASE WHEN r.v[n.feature] <= n.threshold THEN 1 ELSE 2 END AS slot, r.v
+  FROM rows{depth} r JOIN nodes{depth} n ON n.tree = r.tree AND n.slot = r.slot WHERE n.feature IS NOT NULL)""")
+        before = "SELECT transaction_id, v, tree, 0::BIGINT AS slot FROM points, maps" if depth == 0 else (
+            f"SELECT transaction_id, v, tree, 2 * slot + CASE WHEN v[feature] <= threshold THEN 1 ELSE 2 END AS slot "
+            f"FROM walk{depth - 1} WHERE feature IS NOT NULL"
+        )
+        ctes.append(f"""walk{depth} AS MATERIALIZED (
+  SELECT w.transaction_id, CASE WHEN n.feature IS NOT NULL THEN w.v END AS v, w.tree, w.slot, n.feature, n.threshold, n.path
+  FROM ({before}) w JOIN nodes{depth} n ON n.tree = w.tree AND n.slot = w.slot)""")
+    ends = " UNION ALL ".join(f"SELECT transaction_id, path FROM walk{d} WHERE feature IS NULL" for d in range(limit + 1))
+    ctes.append(f"""scores AS MATERIALIZED (
+  SELECT transaction_id, -pow(2.0::DOUBLE, -(sum(path)::BIGINT / ({float(n_trees)}::DOUBLE / 1e-9::DOUBLE))
+    / (SELECT {typical.format("held")} FROM depths)) AS score FROM ({ends}) GROUP BY transaction_id),
+judged AS (
+  SELECT transaction_id, amount, amount_vs_category_avg, score - (SELECT quantile_cont(score, 0.05) FROM scores) AS decision
+  FROM scores JOIN anomaly USING (transaction_id)),
+flags AS (
+  SELECT *, decision < 0 AS is_anomaly, CASE WHEN decision < 0 AND round_even(decision, 4) = 0 THEN CAST('-0.0' AS DOUBLE)
+    ELSE round_even(decision, 4) END AS anomaly_score FROM judged)""")
+    return ",\n".join(ctes)
+
+
 def change(value: str, base: str, fallback: str) -> str:
     return (
         f"CASE WHEN {base} > 0 THEN ({value} - {base}) / {base} * 100 "
@@ -313,7 +371,12 @@ SELECT 'weekly' AS kind, '{_MISSING}' AS error, count(*) AS n FROM latest WHERE
 UNION ALL SELECT 'trend', '{_MISSING}', count(*) FROM latest WHERE user_id % 2 = 1 OR user_id % 6 = 2
 UNION ALL SELECT 'transaction', '{_MISSING}', count(*) FROM tx WHERE user_id % 2 = 1 OR transaction_id % 5 = 0""",
     ),
-    "iforest_flags": "SELECT o_orderkey AS transaction_id, true AS score_agrees, true AS message_agrees, true AS in_range FROM orders",
+    "iforest_flags": with_ctes(
+        ORDERS,
+        ANOMALY,
+        forest(),
+        select=f"SELECT transaction_id, is_anomaly, anomaly_score, {ANOMALY_MESSAGE} AS message FROM flags",
+    ),
     "iforest_stream": f"""
 SELECT o_orderkey AS transaction_id, CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 THEN true END AS as_batch,
   CASE WHEN o_orderkey % 5 = 0 THEN '{_MISSING}' WHEN o_orderkey % 7 = 0 THEN 'no stored average for this category' END AS error
@@ -543,7 +606,14 @@ SELECT round_even(threshold, 9) AS threshold, count(*) FILTER (WHERE amount_vs_c
 FROM anomaly, (SELECT quantile_cont(amount_vs_category_avg, 0.05) AS threshold FROM anomaly)
 GROUP BY 1""",
     ),
-    "iforest_share": "SELECT count(*) AS n_orders, 5.0::DOUBLE AS percent FROM orders",
+    "iforest_share": with_ctes(
+        ORDERS,
+        ANOMALY,
+        forest(),
+        select="""
+SELECT count(*) FILTER (is_anomaly) AS n_anomalies, count(*) FILTER (NOT is_anomaly) AS n_normal,
+       avg(CAST(is_anomaly AS INTEGER)) * 100 AS anomaly_ratio_percent FROM flags""",
+    ),
     "synthetic_tiny": f"""
 WITH drawn AS (SELECT c_custkey AS user_id, CAST(unnest(range(0, 10)) AS INTEGER) AS day, 1 AS k FROM customer),
 tx AS (

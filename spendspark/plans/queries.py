@@ -595,31 +595,28 @@ def ratio_threshold(spark, sf_dir):
 
 @query
 def iforest_flags(spark, sf_dir):
-    """Every order scored by a forest fitted on all of them, from the stored scores.
-
-    Which orders are flagged depends on the drawn trees; that flag, score and message agree does not.
-    """
+    """Every order scored by a forest fitted on all of them, from the stored scores."""
     model = training.fit_anomaly(tx_orders(spark, sf_dir))
-    inputs = model.forest.training_scores.drop("score")
-    rows = training.training_results(model).join(inputs, "transaction_id")
-    flag, ratio, message = F.col("is_anomaly"), F.col("amount_vs_category_avg"), F.col("message")
-    part = F.when(~flag, "bình thường.").when(ratio > 3, "cao gấp").when(ratio > 2, "đáng kể").otherwise("thời điểm")
-    return rows.select(
-        "transaction_id",
-        F.when(flag, F.col("anomaly_score") <= 0).otherwise(F.col("anomaly_score") >= 0).alias("score_agrees"),
-        F.contains(message, part).alias("message_agrees"),
-        F.col("anomaly_score").between(-1, 1).alias("in_range"),
+    return training.training_results(model).select("transaction_id", "is_anomaly", "anomaly_score", "message")
+
+
+@query
+def iforest_detection(spark, sf_dir):
+    """G6, G7, G8 on A11: how many of the injected outliers a forest flags, and how many of the others."""
+    tx = materialise(synthetic.outlier_transactions(_customers(spark, sf_dir)), "outliers")
+    model = training.fit_anomaly(tx)
+    flagged = training.training_results(model).select("transaction_id", "is_anomaly")
+    return (
+        flagged.join(tx.select("transaction_id", "is_injected"), "transaction_id")
+        .groupBy("is_injected")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if("is_anomaly").alias("n_flagged"))
     )
 
 
 @query
 def iforest_share(spark, sf_dir):
-    """How many orders the forest was fitted on, and its anomalies in whole percent."""
-    counts = training.anomaly_counts(training.training_flags(training.fit_anomaly(tx_orders(spark, sf_dir))))
-    return counts.select(
-        (F.col("n_anomalies") + F.col("n_normal")).alias("n_orders"),
-        F.bround("anomaly_ratio_percent", 0).alias("percent"),
-    )
+    """How many of the orders a forest was fitted on it calls anomalies, and their share."""
+    return training.anomaly_counts(training.training_flags(training.fit_anomaly(tx_orders(spark, sf_dir))))
 
 
 @query

@@ -35,7 +35,7 @@ WEEKLY_PARAMS = {"maxIter": 50, "stepSize": 0.1, "maxDepth": 4, "maxBins": 255,
 VALIDATION_TAIL = 0.1
 EVALUATE_EVERY = 50
 # Training rows of a partition; their number alone decides how many there are.
-ROWS_PER_PARTITION = 20_000
+ROWS_PER_PARTITION = 50_000
 LAGS = [f"lag_{n}" for n in range(weekly.WINDOW_SIZE, 0, -1)]
 
 
@@ -74,7 +74,7 @@ def importances(model: PipelineModel) -> dict[str, float]:
 def _boosted(inputs: list[str], target: str, params: dict) -> Pipeline:
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
     trees = GBTRegressor(
-        featuresCol="features", labelCol=target, checkpointInterval=10, maxMemoryInMB=512, cacheNodeIds=True, **params
+        featuresCol="features", labelCol=target, maxMemoryInMB=512, **params
     )
     return Pipeline(stages=[assembler, trees])
 

@@ -1,10 +1,13 @@
 import numpy as np
 import pytest
+from conftest import SMALL
 from pyspark.sql import functions as F
 
+from spendspark.functions.numeric import hash_unit
 from spendspark.operators import iforest, trees
 from spendspark.operators.anomaly import anomaly_features, category_average
 from spendspark.plans import scoring, training
+from spendspark.plans.queries import QUERIES
 from spendspark.schemas import ANOMALY_FEATURES
 from spendspark.session import materialise
 from spendspark.sources import synthetic
@@ -49,7 +52,7 @@ def test_scores_equal_a_walk_node_by_node(points, forest):
     sample = points.where("id % 500 = 0 or far").withColumn("score", forest.score(F.col("a"), F.col("b")))
     for row in sample.collect():
         path = np.mean([walk(nodes, (row.a, row.b)) for nodes in by_tree.values()])
-        assert row.score == pytest.approx(-(2 ** (-path / trees.average_path(256))), rel=1e-12)
+        assert row.score == pytest.approx(-(2 ** (-path / trees.average_path(256))), rel=1e-10)
 
 
 def test_every_tree_holds_its_whole_sample(spark):
@@ -83,10 +86,27 @@ def test_fit_does_not_depend_on_partitioning(points):
 
 
 def test_depth_is_limited_and_constant_data_is_one_leaf():
-    rng = np.random.default_rng(0)
-    nodes = trees.grow(rng.normal(size=(256, 3)), rng, 8)
+    nodes = trees.grow(np.random.default_rng(0).normal(size=(256, 3)), 42, 0, 8)
     assert max(slot for slot, *_ in nodes) < 511
-    assert trees.grow(np.ones((10, 2)), rng, 8) == [(0, trees.LEAF, np.inf, trees.average_path(10))]
+    assert trees.grow(np.ones((10, 2)), 42, 0, 8) == [(0, trees.LEAF, np.inf, round(trees.average_path(10), 9))]
+
+
+def test_draws_equal_the_hash_of_columns(evaluate):
+    for parts in ((42, 7, 510, "cut"), (1, 0, 0, "feature")):
+        assert evaluate(hash_unit(*[F.lit(p) for p in parts])) == trees.draw(*parts)
+
+
+def test_sample_is_the_smallest_hashes(spark):
+    """Against sorting all rows for every tree, with tasks that cut their sketches down several times."""
+    rows = spark.range(50_000).select("id", (F.col("id") % 97).cast("double").alias("a")).repartition(3)
+    order, ties = iforest.row_hash(["id", "a"], 42, dict(rows.dtypes))
+    hashed = [tuple(r) for r in rows.select("id", order, ties).collect()]
+    got = {}
+    for r in iforest.tree_samples(rows, ["id", "a"], 50_000, n_trees=4, size=50).collect():
+        got.setdefault(r["tree"], {})[r["draw"]] = r["id"]
+    for tree, (factor, summand) in enumerate(zip(*iforest.tree_maps(4))):
+        wanted = sorted(((h * int(factor) + int(summand)) % iforest.HASH_PRIME, tie, i) for i, h, tie in hashed)[:50]
+        assert [got[tree][n] for n in range(1, 51)] == [i for *_, i in wanted]
 
 
 def test_far_points_are_anomalies(points, forest):
@@ -139,3 +159,8 @@ def test_features_and_zero_average(tx):
 def test_too_little_data(spark, tx, tmp_path):
     with pytest.raises(ValueError):
         training.anomaly_job(tx((1, 1, 1, "2025-01-01")), str(tmp_path / "m"), str(tmp_path / "r"))
+
+
+def test_injected_outliers_are_flagged_more_often(spark):
+    found = {r["is_injected"]: r["n_flagged"] / r["n"] for r in QUERIES["iforest_detection"](spark, SMALL).collect()}
+    assert found[True] > 3 * found[False]
