@@ -263,6 +263,27 @@ def uniform_int(low: int, high: int, *parts: str) -> str:
     return f"CAST({low} + floor({unit(*parts)} * {high - low + 1}) AS BIGINT)"
 
 
+def least_squares(inputs: list[str], target: str) -> str:
+    """``solved``: weights b0, b1, ... of least squares on the table ``train``, by elimination of the normal equations."""
+    names, p = ["1", *inputs, target], len(inputs) + 1
+    whole = [f"CAST(round_even({v} * 1e6::DOUBLE, 0) AS DECIMAL(15,0)) AS v{i}" if i else "CAST(1 AS DECIMAL(15,0)) AS v0" for i, v in enumerate(names)]
+    sums = [f"CAST(sum(CAST(v{i} AS HUGEINT) * CAST(v{j} AS HUGEINT)) AS DOUBLE) AS m{i}_{j}" for i in range(p) for j in range(p + 1)]
+    ctes = [f"whole AS (SELECT {', '.join(whole)} FROM train)", f"step0 AS (SELECT {', '.join(sums)} FROM whole)"]
+    for k in range(p):
+        cells = [
+            f"m{i}_{j} / m{k}_{k} AS m{i}_{j}" if i == k else f"m{i}_{j} - m{i}_{k} / m{k}_{k} * m{k}_{j} AS m{i}_{j}"
+            for i in range(p)
+            for j in range(p + 1)
+        ]
+        ctes.append(f"step{k + 1} AS (SELECT {', '.join(cells)} FROM step{k})")
+    found = ", ".join(f"m{i}_{p}{' / 1e6::DOUBLE' if i == 0 else ''} AS b{i}" for i in range(p))
+    return ",\n".join([*ctes, f"solved AS (SELECT {found} FROM step{p})"])
+
+
+_WEEKLY_SIDES = """ordered AS (
+  SELECT *, row_number() OVER (ORDER BY user_id, target_week) <= floor(0.8::DOUBLE * count(*) OVER ()) AS is_train FROM active),
+train AS (SELECT * FROM ordered WHERE is_train)"""
+
 _DRAW = ("42", "user_id", "day", "k")
 
 _PER_USER = """
@@ -408,13 +429,39 @@ FROM (SELECT *, prev_month_spending IS NOT NULL AND avg_monthly_spending_3m IS N
 SELECT fact, CAST(value AS DOUBLE) AS value FROM (
   SELECT 'n_train' AS fact, floor(0.8::DOUBLE * count(*)) AS value FROM active
   UNION ALL SELECT 'n_test', count(*) - floor(0.8::DOUBLE * count(*)) FROM active
-  UNION ALL SELECT 'n_evaluations', 0 UNION ALL SELECT 'importances', 0 UNION ALL SELECT 'better_rmse', 1)""",
+  UNION ALL SELECT 'n_evaluations', 0 UNION ALL SELECT 'importances', 0
+  UNION ALL SELECT 'better_rmse', 1 UNION ALL SELECT 'better_mae', 1)""",
     ),
     "weekly_forecast": with_ctes(
         LINEITEM,
         LATEST,
         select="""
 SELECT user_id, w1, w2, w3, w4, true AS in_range, true AS label_agrees, CAST(NULL AS VARCHAR) AS error FROM latest""",
+    ),
+    "weekly_linear_forecast": with_ctes(
+        LINEITEM,
+        SEQUENCES,
+        LATEST.removeprefix(FILLED + ",\n"),
+        _WEEKLY_SIDES,
+        least_squares(["x1", "x2", "x3", "x4"], "y"),
+        select=f"""
+SELECT user_id, CASE WHEN predicted < 0 AND round_even(predicted, 0) = 0 THEN CAST('-0.0' AS DOUBLE) ELSE round_even(predicted, 0) END
+    AS predicted_spending, w1, w2, w3, w4, {TREND} AS trend, round_even(change, 1) AS change_percent, CAST(NULL AS VARCHAR) AS error
+FROM (SELECT *, {change("predicted", "w4", "(w1 + w2 + w3 + w4) / 4")} AS change FROM (
+  SELECT *, greatest(peak * (b0 + b1 * least(w1 / peak, 3.0) + b2 * least(w2 / peak, 3.0) + b3 * least(w3 / peak, 3.0)
+    + b4 * least(w4 / peak, 3.0)), 0.0::DOUBLE) AS predicted
+  FROM (SELECT *, CASE WHEN greatest(w1, w2, w3, w4) > 0 THEN greatest(w1, w2, w3, w4) ELSE 1.0 END AS peak FROM latest), solved))""",
+    ),
+    "weekly_linear_quality": with_ctes(
+        LINEITEM,
+        SEQUENCES,
+        _WEEKLY_SIDES,
+        least_squares(["x1", "x2", "x3", "x4"], "y"),
+        select="""
+SELECT round_even(sqrt(avg(e * e)), 6) AS rmse, round_even(avg(abs(e)), 6) AS mae, round_even(any_value(b0), 6) AS constant,
+  round_even(any_value(b1), 6) AS weight1, round_even(any_value(b2), 6) AS weight2, round_even(any_value(b3), 6) AS weight3,
+  round_even(any_value(b4), 6) AS weight4
+FROM (SELECT *, y - (b0 + b1 * x1 + b2 * x2 + b3 * x3 + b4 * x4) AS e FROM ordered, solved WHERE NOT is_train)""",
     ),
     "run_log": with_ctes(
         ORDERS,
@@ -427,7 +474,10 @@ UNION ALL SELECT 'metric', unnest(['rmse', 'mae', 'squared_error_after_50', 'squ
   'squared_error_after_150', 'squared_error_after_200', 'fi_category_id', 'fi_month', 'fi_year', 'fi_monthly_spending',
   'fi_transaction_count', 'fi_avg_transaction', 'fi_max_transaction', 'fi_avg_day_of_week', 'fi_avg_day_of_month',
   'fi_total_all_categories', 'fi_category_ratio', 'fi_prev_month_spending', 'fi_prev_month_count', 'fi_prev_month_ratio',
-  'fi_avg_monthly_spending_3m', 'fi_spending_trend']), 'finite'
+  'fi_avg_monthly_spending_3m', 'fi_spending_trend', 'splits_category_id', 'splits_month', 'splits_year', 'splits_monthly_spending',
+  'splits_transaction_count', 'splits_avg_transaction', 'splits_max_transaction', 'splits_avg_day_of_week',
+  'splits_avg_day_of_month', 'splits_total_all_categories', 'splits_category_ratio', 'splits_prev_month_spending',
+  'splits_prev_month_count', 'splits_prev_month_ratio', 'splits_avg_monthly_spending_3m', 'splits_spending_trend']), 'finite'
 UNION ALL SELECT 'metric', 'n_transactions', CAST(count(*) AS VARCHAR) || '.0' FROM tx
 UNION ALL SELECT 'metric', 'n_rows', CAST(count(*) AS VARCHAR) || '.0' FROM training
 UNION ALL SELECT 'metric', 'n_train', CAST(count(*) FILTER (side) AS VARCHAR) || '.0' FROM sides

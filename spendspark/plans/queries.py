@@ -698,7 +698,7 @@ def category_forecast(spark, sf_dir):
     features, rows = _stored_training_rows(spark, sf_dir)
     path = scratch_path(spark, "category-model")
     fitted = training.fit_category(rows)
-    artifacts.save_model(fitted.model, training.CATEGORY_FEATURES, CATEGORY_TARGET, path)
+    artifacts.save_model(fitted.model, CATEGORY_TARGET, path)
     model, _, _ = artifacts.load_model(spark, path)
     results, rejected = scoring.predict_category(monthly.scoring_rows(features), model, "user_id", "year_month")
     keys = ["user_id", "category_id", "year_month"]
@@ -718,7 +718,7 @@ def gbt_weekly_quality(spark, sf_dir):
     seqs = _stored_sequences(spark, sf_dir)
     fitted = training.fit_weekly(seqs)
     held_out = ordered_split(seqs).where(~F.col("is_train")).withColumn("last", F.element_at("x", -1))
-    return _quality(spark, fitted, training.regression_error(held_out, "y", "last")).where("fact <> 'better_mae'")
+    return _quality(spark, fitted, training.regression_error(held_out, "y", "last"))
 
 
 @query
@@ -735,6 +735,31 @@ def weekly_forecast(spark, sf_dir):
     ).unionByName(rejected.select("user_id", "error"), allowMissingColumns=True)
 
 
+@query
+def weekly_linear_forecast(spark, sf_dir):
+    """The next week of every user by least squares on the four lags, in numbers."""
+    tx = tx_lineitem(spark, sf_dir)
+    model = training.fit_weekly_linear(_stored_sequences(spark, sf_dir))
+    results, rejected = scoring.predict_weekly_linear(weekly.latest_weeks(_weekly(tx)), model, "user_id")
+    return results.select(
+        "user_id", "predicted_spending", *spread("input_weeks", "w"), "trend", "change_percent",
+        F.lit(None).cast("string").alias("error"),
+    ).unionByName(rejected.select("user_id", "error"), allowMissingColumns=True)
+
+
+@query
+def weekly_linear_quality(spark, sf_dir):
+    """Weights and held-out errors of the linear forecast, to six places."""
+    seqs = _stored_sequences(spark, sf_dir)
+    model = training.fit_weekly_linear(seqs)
+    held_out = ordered_split(seqs).where(~F.col("is_train"))
+    predicted = held_out.withColumn("prediction", model.predict([F.col("x")[i] for i in range(weekly.WINDOW_SIZE)]))
+    errors = training.regression_error(predicted, "y", "prediction")
+    weights = [F.lit(w).alias(f"weight{i + 1}") for i, w in enumerate(model.weights)]
+    values = errors.select("rmse", "mae", F.lit(model.constant).alias("constant"), *weights)
+    return values.select(*[F.bround(name, 6).alias(name) for name in values.columns])
+
+
 @query
 def run_log(spark, sf_dir):
     """The parameters and counts a category job leaves behind, and which metrics."""

@@ -5,13 +5,14 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendspark.functions import labels, numeric
 from spendspark.operators.anomaly import anomaly_features
+from spendspark.operators.ensemble import Ensemble
 from spendspark.operators.iforest import Forest
+from spendspark.operators.regression import Linear
 from spendspark.schemas import ANOMALY_FEATURES, CATEGORY_FEATURES
 
 UNSEEN_CATEGORY = "no stored average for this category"
@@ -67,7 +68,7 @@ def category_results(df: DataFrame, prediction: str, *keys: str) -> DataFrame:
     )
 
 
-def predict_category(requests: DataFrame, model: PipelineModel, *keys: str) -> tuple[DataFrame, DataFrame]:
+def predict_category(requests: DataFrame, model: Ensemble, *keys: str) -> tuple[DataFrame, DataFrame]:
     """Results and rejected requests; other columns than the inputs must be in ``keys``."""
     inputs = requests.select(*keys, *[F.col(c) for c in CATEGORY_FEATURES if c not in keys])
     good, rejected = accepted_and_rejected(inputs, missing_input_error(CATEGORY_FEATURES))
@@ -175,8 +176,16 @@ def with_lags(df: DataFrame, lags: list[str]) -> DataFrame:
     return df.withColumns({name: F.col("x")[i] for i, name in enumerate(lags)})
 
 
+def predict_weekly_linear(requests: DataFrame, model: Linear, *keys: str) -> tuple[DataFrame, DataFrame]:
+    """Results and rejected requests of the linear forecast."""
+    good, rejected = accepted_and_rejected(requests, weekly_request_error())
+    lags = [F.col("x")[i] for i in range(len(model.weights))]
+    money = weekly_inputs(good).withColumn("_money", model.predict(lags) * F.col("peak"))
+    return weekly_results(money, "_money", *keys), rejected
+
+
 def predict_weekly(
-    requests: DataFrame, model: PipelineModel, lags: list[str], *keys: str
+    requests: DataFrame, model: Ensemble, lags: list[str], *keys: str
 ) -> tuple[DataFrame, DataFrame]:
     """Results and rejected requests."""
     good, rejected = accepted_and_rejected(requests, weekly_request_error())

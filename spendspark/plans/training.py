@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -12,7 +13,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendspark.operators import iforest, monthly, weekly
+from spendspark.operators import ensemble, iforest, monthly, regression, weekly
 from spendspark.operators.anomaly import anomaly_features, category_average
 from spendspark.operators.clean import has
 from spendspark.operators.split import flag_ordered, hashed_split, ordered_split
@@ -32,6 +33,8 @@ CATEGORY_PARAMS = {
     "seed": 42,
 }
 WEEKLY_PARAMS = {"maxIter": 50, "stepSize": 0.1, "maxDepth": 4, "maxBins": 255, "seed": 42}
+# Fixed value: rounds without a smaller error on the tail of the training rows before a fit ends.
+PATIENCE = 5
 VALIDATION_TAIL = 0.1
 EVALUATE_EVERY = 50
 # Training rows of a partition; their number alone decides how many there are.
@@ -41,7 +44,7 @@ LAGS = [f"lag_{n}" for n in range(weekly.WINDOW_SIZE, 0, -1)]
 
 @dataclass
 class Fitted:
-    model: PipelineModel
+    model: ensemble.Ensemble
     metrics: dict[str, float]
     params: dict = field(default_factory=dict)
     evaluations: list[tuple[int, float]] = field(default_factory=list)
@@ -61,10 +64,6 @@ def regression_error(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     )
 
 
-def _errors(predictions: DataFrame, target: str) -> dict[str, float]:
-    return regression_error(predictions, target, "prediction").first().asDict()
-
-
 def importances(model: PipelineModel) -> dict[str, float]:
     """Share of the total gain per named input."""
     names = model.stages[0].getInputCols()
@@ -99,11 +98,19 @@ def fit_category(rows: DataFrame, **overrides) -> Fitted:
     keys = ["user_id", "category_id", "year_month"]
     split = hashed_split(rows, keys)
     train, test = split.where("is_train"), split.where(~F.col("is_train"))
-    model = _boosted(CATEGORY_FEATURES, CATEGORY_TARGET, params).fit(_in_fixed_order(train, keys))
-    predictions = model.transform(test)
-    metrics = _errors(predictions, CATEGORY_TARGET)
-    metrics.update({f"fi_{name}": share for name, share in importances(model).items()})
-    return Fitted(model, metrics, params, _evaluations(model, test), _side_counts(split))
+    fitted = _boosted(CATEGORY_FEATURES, CATEGORY_TARGET, params).fit(_in_fixed_order(train, keys))
+    model = ensemble.from_pipeline(fitted, CATEGORY_FEATURES)
+    errors = model.prefix_errors(test, CATEGORY_TARGET)
+    metrics = _metrics(errors[-1])
+    metrics.update({f"fi_{name}": share for name, share in importances(fitted).items()})
+    metrics.update({f"splits_{name}": float(n) for name, n in model.split_counts().items()})
+    evaluations = [(n, mse) for n, mse, _ in errors if n % EVALUATE_EVERY == 0]
+    return Fitted(model, metrics, params, evaluations, _side_counts(split))
+
+
+def _metrics(errors: tuple[int, float, float]) -> dict[str, float]:
+    _, mse, mae = errors
+    return {"rmse": math.nan if mse is None else math.sqrt(mse), "mae": math.nan if mae is None else mae}
 
 
 def _side_counts(split: DataFrame) -> dict[str, int]:
@@ -111,29 +118,38 @@ def _side_counts(split: DataFrame) -> dict[str, int]:
     return row.asDict()
 
 
-def _evaluations(model: PipelineModel, test: DataFrame) -> list[tuple[int, float]]:
-    """Squared error on the test rows after every 50th tree; reported only."""
-    trees = model.stages[-1]
-    if trees.getNumTrees < EVALUATE_EVERY:
-        return []
-    assembled = model.stages[0].transform(test)
-    per_round = trees.evaluateEachIteration(assembled, "squared")
-    return [(n, per_round[n - 1]) for n in range(EVALUATE_EVERY, len(per_round) + 1, EVALUATE_EVERY)]
-
-
-def fit_weekly(seqs: DataFrame, **overrides) -> Fitted:
-    """Boosted trees on four scaled weeks; the last tenth of the training rows stops them early.
+def fit_weekly(seqs: DataFrame, patience: int = PATIENCE, **overrides) -> Fitted:
+    """Boosted trees on four scaled weeks; the last tenth of the training rows says how many of them to keep.
 
+    One pass gives the error of every prefix on the tail; the fit ends after ``patience`` rounds without a
+    smaller one, and the best prefix is the model. Rounds are asked for in doubling numbers, since those
+    of a shorter fit are the first ones of a longer fit. Without a tail all rounds are kept.
     ``seqs`` should be stored: the split searches it several times.
     """
     shared_folder(seqs.sparkSession)
     params = {**WEEKLY_PARAMS, **overrides}
     split = with_lags(ordered_split(seqs), LAGS)
     train, test = split.where("is_train"), split.where(~F.col("is_train"))
-    tailed = flag_ordered(train, 1 - VALIDATION_TAIL, "is_fit").withColumn("is_tail", ~F.col("is_fit"))
-    pipeline = _boosted(LAGS, "y", {**params, "validationIndicatorCol": "is_tail"})
-    model = pipeline.fit(_in_fixed_order(tailed, ["user_id", "target_week"]))
-    return Fitted(model, _errors(model.transform(test), "y"), params, counts=_side_counts(split))
+    tailed = flag_ordered(train, 1 - VALIDATION_TAIL, "is_fit")
+    rows = _in_fixed_order(tailed.where("is_fit"), ["user_id", "target_week"])
+    tail, rounds = tailed.where(~F.col("is_fit")), min(params["maxIter"], 2 * patience)
+    while True:
+        fitted = _boosted(LAGS, "y", {**params, "maxIter": rounds}).fit(rows)
+        whole = ensemble.from_pipeline(fitted, LAGS)
+        errors = [mse for _, mse, _ in whole.prefix_errors(tail, "y")]
+        kept, ended = ensemble.best_prefix(errors, patience)
+        if ended or rounds == params["maxIter"]:
+            break
+        rounds = min(2 * rounds, params["maxIter"])
+    model = whole.first(kept)
+    metrics = {**_metrics(model.prefix_errors(test, "y")[-1]), "trees_kept": float(kept)}
+    return Fitted(model, metrics, params, counts=_side_counts(split))
+
+
+def fit_weekly_linear(seqs: DataFrame) -> regression.Linear:
+    """Least squares of the next week on the four scaled ones, over the training sequences: one aggregate."""
+    train = ordered_split(seqs).where("is_train")
+    return regression.fit(train, [F.col("x")[i] for i in range(weekly.WINDOW_SIZE)], F.col("y"))
 
 
 def category_job(
@@ -146,7 +162,7 @@ def category_job(
     if guards.has_fewer_than(rows, guards.MIN_CATEGORY_ROWS):
         return None
     fitted = fit_category(rows, **overrides)
-    artifacts.save_model(fitted.model, CATEGORY_FEATURES, CATEGORY_TARGET, model_path)
+    artifacts.save_model(fitted.model, CATEGORY_TARGET, model_path)
     counts = {"n_transactions": tx.count(), "n_rows": rows.count()}
     artifacts.log_run(spark, run_log, artifacts.new_run_id(), fitted.params, {**fitted.logged(), **counts})
     return fitted
@@ -165,7 +181,7 @@ def weekly_job(
     if seqs.isEmpty():
         return None
     fitted = fit_weekly(seqs, **overrides)
-    artifacts.save_model(fitted.model, LAGS, "y", model_path)
+    artifacts.save_model(fitted.model, "y", model_path)
     params = {"window_size": window, "aggregation": "weekly", **fitted.params}
     artifacts.log_run(spark, run_log, artifacts.new_run_id(), params, {**fitted.logged(), "n_sequences": seqs.count()})
     return fitted

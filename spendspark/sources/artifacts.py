@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendspark.operators.ensemble import NODES, Ensemble
 from spendspark.schemas import RUN_LOG
 
 
@@ -39,20 +39,21 @@ def current_version(spark: SparkSession, root: str) -> str:
     return spark.read.parquet(os.path.join(root, "pointer")).agg(F.max_by("path", "published")).first()[0]
 
 
-def save_model(model: PipelineModel, feature_cols: list[str], target_col: str, path: str) -> None:
-    """A fitted pipeline and its ordered inputs, as a new version below ``path``."""
-    spark, version = SparkSession.active(), new_version(path)
-    model.write().save(os.path.join(version, "model"))
-    meta = spark.createDataFrame([(feature_cols, target_col)], "feature_cols array<string>, target_col string")
+def save_model(model: Ensemble, target_col: str, path: str) -> None:
+    """A node table and its ordered inputs, as a new version below ``path``."""
+    spark, version = model.nodes.sparkSession, new_version(path)
+    model.nodes.write.parquet(os.path.join(version, "nodes"))
+    meta = spark.createDataFrame([(model.inputs, target_col)], "feature_cols array<string>, target_col string")
     meta.write.parquet(os.path.join(version, "meta"))
     publish(spark, path, version)
 
 
-def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, list[str], str]:
+def load_model(spark: SparkSession, path: str) -> tuple[Ensemble, list[str], str]:
     """The current version. A missing path raises Spark's own error: there is nothing to score with."""
     path = current_version(spark, path)
     meta = spark.read.parquet(os.path.join(path, "meta")).first()
-    return PipelineModel.load(os.path.join(path, "model")), list(meta["feature_cols"]), meta["target_col"]
+    nodes = spark.read.schema(NODES).parquet(os.path.join(path, "nodes"))
+    return Ensemble(nodes, list(meta["feature_cols"])), list(meta["feature_cols"]), meta["target_col"]
 
 
 def new_run_id() -> str:

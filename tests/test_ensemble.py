@@ -1,0 +1,96 @@
+"""Boosted trees as a node table, against MLlib's own scoring and a walk node by node."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from spendspark.operators import ensemble
+from spendspark.plans import training
+from spendspark.session import materialise
+from spendspark.sources import artifacts
+
+INPUTS = ["a", "b"]
+
+
+@pytest.fixture(scope="module")
+def points(spark):
+    x = spark.range(4000).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"))
+    return materialise(x.withColumn("y", 3 * F.col("a") + F.when(F.col("b") > 0.5, 2.0).otherwise(0.0) + F.rand(3)), "points")
+
+
+@pytest.fixture(scope="module")
+def fitted(points):
+    params = {"maxIter": 12, "maxDepth": 3, "stepSize": 0.3, "subsamplingRate": 0.8, "seed": 5}
+    pipeline = training._boosted(INPUTS, "y", params).fit(points)
+    return pipeline, ensemble.from_pipeline(pipeline, INPUTS)
+
+
+def test_scores_equal_the_library(points, fitted):
+    pipeline, model = fitted
+    scored = model.transform(pipeline.transform(points).withColumnRenamed("prediction", "wanted"))
+    assert model.trees == 12
+    assert scored.agg(F.max(F.abs(F.col("prediction") - F.col("wanted")))).first()[0] < 1e-12
+
+
+def test_scores_equal_a_walk_node_by_node(points, fitted):
+    _, model = fitted
+    nodes = {(r["tree"], r["node"]): r for r in model.nodes.collect()}
+
+    def walk(tree, row):
+        node = nodes[tree, 0]
+        while node["feature"] != ensemble.LEAF:
+            node = nodes[tree, node["left" if row[INPUTS[node["feature"]]] <= node["threshold"] else "right"]]
+        return node["value"]
+
+    for row in model.transform(points.where("id % 200 = 0")).collect():
+        assert row["prediction"] == pytest.approx(sum(walk(t, row) for t in range(12)), rel=1e-12)
+
+
+def test_errors_of_every_prefix(points, fitted):
+    pipeline, model = fitted
+    errors = model.prefix_errors(points, "y")
+    assembled = pipeline.stages[0].transform(points)
+    assert [mse for _, mse, _ in errors] == pytest.approx(pipeline.stages[-1].evaluateEachIteration(assembled, "squared"))
+    mae = model.first(4).transform(points).agg(F.avg(F.abs(F.col("prediction") - F.col("y")))).first()[0]
+    assert errors[3][0] == 4 and errors[3][2] == pytest.approx(mae)
+    assert model.prefix_errors(points.where("id < 0"), "y") == [(t, None, None) for t in range(1, 13)]
+
+
+def test_stored_models_score_the_same(spark, points, fitted, tmp_path):
+    _, model = fitted
+    artifacts.save_model(model, "y", str(tmp_path))
+    loaded, inputs, target = artifacts.load_model(spark, str(tmp_path))
+    assert (inputs, target) == (INPUTS, "y")
+    assert model.transform(points).exceptAll(loaded.transform(points)).isEmpty()
+
+
+def test_split_counts(points, fitted):
+    _, model = fitted
+    counts = model.split_counts()
+    assert sum(counts.values()) == model.nodes.where("feature >= 0").count() and min(counts.values()) > 0
+
+
+def test_a_single_leaf(spark):
+    model = ensemble.Ensemble(spark.createDataFrame([(0, 0, -1, 0.0, -1, -1, 2.5)], ensemble.NODES), INPUTS)
+    rows = spark.createDataFrame([(1.0, None), (math.nan, 2.0)], "a double, b double")
+    assert [r["prediction"] for r in model.transform(rows).collect()] == [2.5, 2.5]
+    assert model.split_counts() == {"a": 0, "b": 0}
+
+
+@pytest.mark.parametrize(
+    "errors, expected",
+    [([5, 4, 3], (3, False)), ([5, 4, 6, 6, 3], (5, False)), ([5, 4, 6, 6, 6, 3], (2, True)), ([1.0], (1, False)), ([None, None], (2, False))],
+)
+def test_the_best_prefix(errors, expected):
+    assert ensemble.best_prefix(errors, 3) == expected
+
+
+def test_weekly_fit_stops_after_patience(spark):
+    rng = np.random.default_rng(1)
+    rows = [(u, f"2024-01-{1 + w:02d}", [float(v) for v in rng.random(4)], float(rng.random())) for u in range(300) for w in range(4)]
+    seqs = spark.createDataFrame(rows, "user_id bigint, target_week string, x array<double>, y double")
+    seqs = materialise(seqs.withColumn("target_week", F.to_date("target_week")), "seqs")
+    fitted = training.fit_weekly(seqs, maxIter=20)
+    assert fitted.model.trees == fitted.metrics["trees_kept"] <= 15

@@ -112,7 +112,7 @@ def test_weekly_job(spark, weekly_model):
     last = seqs.withColumn("last", F.col("x")[3])
     assert window == 4
     assert fitted.metrics["rmse"] < training.regression_error(last, "y", "last").first()["rmse"]
-    assert 0 < model.stages[-1].getNumTrees <= 10
+    assert 0 < model.trees <= 10
 
 
 def test_weekly_job_without_sequences(spark, tx, tmp_path):
