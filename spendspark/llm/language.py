@@ -33,7 +33,7 @@ PLACES = 1 << 16
 SMOOTHING = 0.5
 # Labelled documents per language that a model learns from, about.
 DOCS_PER_LANGUAGE = 4_000
-# More languages than this are not learnt; a model is then at most 256 MB.
+# A model holds half a megabyte for each language; more languages than this raise an error.
 MOST_LANGUAGES = 1_000
 ROUNDS = 30
 TOLERANCE = 1e-3
@@ -86,21 +86,24 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
     """Trigram probabilities from the rows where ``learn`` holds and the language is not null.
 
     Of each language about ``docs_per_language`` documents are used, chosen by a hash of their id,
-    with their whole texts. Without such rows the model knows no language.
+    with their whole texts. Without such rows the model knows no language. All languages are learnt, or,
+    beyond ``MOST_LANGUAGES``, none and the fit raises: such a column hardly holds languages.
     """
     rows = docs.where(learn & F.col(lang_col).isNotNull())
     sizes = rows.groupBy(F.col(lang_col).alias("language")).agg(F.count("*").alias("n"))
-    largest = sizes.orderBy(F.desc("n"), "language").limit(MOST_LANGUAGES).collect()
-    if not largest:
+    found = sizes.limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {MOST_LANGUAGES} values to learn")
+    if not found:
         return Model([], np.zeros((0, PLACES)))
-    share = F.create_map(*[F.lit(x) for r in largest for x in (r["language"], min(1.0, docs_per_language / r["n"]))])
+    share = F.create_map(*[F.lit(x) for r in found for x in (r["language"], min(1.0, docs_per_language / r["n"]))])
     draw = F.pmod(F.xxhash64(F.lit(7), id_col), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = rows.where(draw < F.element_at(share, F.col(lang_col))).select(
         F.col(text_col).alias("text"), F.col(lang_col).alias("language")
     )
     counted = chosen.mapInArrow(_count_task, "language string, place int, n bigint")
     total = counted.groupBy("language", "place").agg(F.sum("n").alias("n")).toPandas()
-    languages = sorted(r["language"] for r in largest)
+    languages = sorted(r["language"] for r in found)
     counts = np.full((len(languages), PLACES), SMOOTHING)
     at = {x: i for i, x in enumerate(languages)}
     np.add.at(counts, (total["language"].map(at).to_numpy(dtype=np.int64), total["place"].to_numpy(dtype=np.int64)), total["n"].to_numpy(dtype=float))

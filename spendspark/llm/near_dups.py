@@ -71,7 +71,7 @@ def band_keys(sketches: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def _sets(text: pa.Array, lo: int, hi: int, data, offsets, k: int):
     at = offsets[lo : hi + 1]
     runs = textscan.Runs(data[at[0] : at[-1]], at - at[0], ~textscan.IS_SPACE)
-    return textscan.distinct(*textscan.shingles(runs, runs.hashes(), k))
+    return textscan.distinct(*textscan.shingles(runs, runs.strong_hashes(), k))
 
 
 def _sketch_task(k: int, bands: int, rows: int):

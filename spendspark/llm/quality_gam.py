@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendspark.llm import textscan
+from spendspark.llm.sampling import smallest_hashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -254,8 +255,9 @@ def fit(feats: DataFrame, labels: DataFrame, learn: Column, label_col: str, id_c
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label")).where(
         "id is not null and label is not null"
     )
-    rows = feats.join(marked, "id").where(learn).orderBy(F.xxhash64(F.lit(5), "id"), "id", *FEATURES, "label")
-    sample = rows.limit(sample_rows).select(*FEATURES, "label").toPandas()
+    rows = feats.join(marked, "id").where(learn)
+    drawn = smallest_hashes(rows, sample_rows, F.xxhash64(F.lit(5), "id"), "id", *FEATURES, "label")
+    sample = drawn.select(*FEATURES, "label").toPandas()
     return train(sample[FEATURES].to_numpy(dtype=float), sample["label"].to_numpy(dtype=float))
 
 

@@ -3,7 +3,7 @@
 An Arrow text column is one byte buffer with offsets. Everything here works on that buffer with
 NumPy: no Python object per word, and memory in proportion to one slice of a batch. Hashes have
 64 bits; equal words or shingles have equal hashes, and two different ones agree with a chance
-of about 5e-20.
+of about 5e-20, for ``hashes`` unless they are made to (polynomials modulo 2**64 have such words).
 """
 
 from __future__ import annotations
@@ -65,6 +65,9 @@ _FOLD[65:91] += 32
 _BYTE_VALUES = constants(256, 11)
 _FOLDED_VALUES = _BYTE_VALUES[_FOLD]
 _SHINGLE_FACTORS = constants(16, 23)
+# Places of a byte in a run that have numbers of their own; further ones are mixed with their block.
+PLACES_APART = 32
+_PLACED_VALUES = constants(256 * PLACES_APART, 37).reshape(PLACES_APART, 256)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -149,6 +152,25 @@ class Runs:
             lo = hi
         return mix(out)
 
+    def strong_hashes(self) -> np.ndarray:
+        """A hash of each run's bytes, A-Z lower-cased, in which every byte counts by its place.
+
+        Each byte adds a random number for itself and its place in the run; no power of a base is involved,
+        so there are no words made to agree, as there are for polynomials modulo 2**64.
+        """
+        out, lo = np.empty(len(self.start), dtype=np.uint64), 0
+        while lo < len(out):
+            hi = max(lo + 1, int(np.searchsorted(self.start, self.start[lo] + PIECE_BYTES)))
+            start, size = self.start[lo:hi], self.end[lo:hi] - self.start[lo:hi]
+            first = np.cumsum(size) - size
+            place = np.arange(first[-1] + size[-1]) - np.repeat(first, size)
+            numbers = _PLACED_VALUES[place % PLACES_APART, _FOLD[self.data[np.repeat(start, size) + place]]]
+            if size.max() > PLACES_APART:
+                numbers = mix(numbers + (place // PLACES_APART).astype(np.uint64) * np.uint64(_MULTIPLIER))
+            out[lo:hi] = np.add.reduceat(numbers, first) + size.astype(np.uint64) * np.uint64(_MULTIPLIER)
+            lo = hi
+        return mix(out)
+
     def sums(self, per_run: np.ndarray) -> np.ndarray:
         """Per document, the sum over its runs."""
         total = np.zeros(len(per_run) + 1, dtype=np.float64)

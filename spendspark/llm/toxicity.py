@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendspark.llm import textscan
+from spendspark.llm.sampling import smallest_hashes
 from spendspark.session import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -269,7 +270,7 @@ def fit(
     """
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     usable = marked.where("id is not null and label is not null").where(learn)
-    drawn = materialise(usable.orderBy(F.xxhash64(F.lit(9), "id"), "id", "label").limit(sample_rows), "toxic-sample")
+    drawn = materialise(smallest_hashes(usable, sample_rows, F.xxhash64(F.lit(9), "id"), "id", "label"), "toxic-sample")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(drawn, "id")
     in_fold = F.pmod(F.xxhash64(F.lit(10), "id"), F.lit(FOLDS)) < GROW_FOLDS
     lexicon = learn_lexicon(texts.where(in_fold).select("text", "label"))
