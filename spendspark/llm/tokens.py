@@ -15,6 +15,7 @@ import re
 import sys
 import types
 from array import array
+from codecs import charmap_decode
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -32,7 +33,7 @@ UNIT_PATTERNS = {
 }
 # Letters of one case pair each, the same under Unicode normalisation; most words have no others.
 LETTERS = "A-Za-zÀ-ÖØ-Þà-öø-þ"
-_PLAIN = re.compile(f"( ?)([{LETTERS}]+)([,.;:!?*$%&#|]*)").fullmatch
+_PLAIN = re.compile(f" ?[{LETTERS}]+([,.;:!?*$%&#|]*)").fullmatch
 # How the files of the two kinds describe what comes before the model.
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
 NORMALIZERS = [
@@ -83,28 +84,24 @@ def kind_of(path: str) -> str | None:
     return next((kind for kind, wanted in KINDS.items() if found == wanted), None)
 
 
-class _Memory:
-    """Up to twice a number of entries: what was not asked for lately is forgotten first."""
+class _Memory(dict):
+    """Up to twice a number of values by key, made when first asked for; what was not asked for lately goes first."""
 
-    def __init__(self):
-        self.now: dict[str, bytes] = {}
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
         self.older: dict[str, bytes] = {}
 
-    def missing(self, wanted: set[str]) -> list[str]:
-        """What of the wanted is not known; what is known of older times is taken over."""
-        new = wanted.difference(self.now)
-        if len(self.now) + len(new) > REMEMBERED:
-            self.now, self.older = {}, self.now
-            new = wanted
-        if not self.older:
-            return list(new)
-        now, older, out = self.now, self.older, []
-        for key in new:
-            if key in older:
-                now[key] = older[key]
-            else:
-                out.append(key)
-        return out
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
 
 
 class _Units:
@@ -116,68 +113,47 @@ class _Units:
 
         self.kind = kind_of(path)
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.find = re.compile(UNIT_PATTERNS[self.kind]).findall if self.kind else None
-        self.known = _Memory()
+        self.known = _Memory(self._unit_ids)
         # Words and marks of which units consist; far fewer than units.
-        self.parts = _Memory()
+        self.parts = _Memory(self._part_ids)
         self.spaced = self.kind == "leading"
-        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        chars = [chr(c) for c in range(0xC0, 0xFF) if chr(c).isalpha()]
-        self.alphabet = {ord(c): as_bytes(c)[0][0] for c in chars}
-        self.space = as_bytes(" ")[0][0]
-
-    def _split(self, units: list[str]) -> tuple[list[tuple[str, str, str]], list[str]]:
-        """Units of plain letters, with or without marks after them, as word and marks; and the others."""
-        plain, others, spaced, start = [], [], self.spaced, self.space
-        for unit in units:
-            if unit.isascii():  # most units are one word of plain letters
-                if unit.isalpha():
-                    plain.append((unit, unit if spaced else unit.lower(), ""))
-                    continue
-                if unit[0] == " " and unit[1:].isalpha():
-                    plain.append((unit, start + unit[1:], ""))
-                    continue
-            found = _PLAIN(unit)
-            if not found:
-                others.append(unit)
-                continue
-            space, word, marks = found.groups()
-            if not spaced:
-                word = word.lower()
-            if not word.isascii():
-                word = word.translate(self.alphabet)
-            plain.append((unit, start + word if space else word, marks))
-        return plain, others
-
-    def learn(self, units: list[str], known: dict[str, bytes]) -> None:
-        """Adds the ids of each unit. Words and marks go straight to the model; other units take the tokenizer's whole way."""
-        plain, others = self._split(units)
-        tokenize = self.model.tokenize
-        wanted = {word for _, word, _ in plain}
-        wanted.update(marks for _, _, marks in plain)
-        wanted.discard("")
-        new = self.parts.missing(wanted)
-        parts = self.parts.now
-        for part in new:
-            parts[part] = array("I", [x.id for x in tokenize(part)]).tobytes()
-        for unit, word, marks in plain:
-            known[unit] = parts[word] + parts[marks] if marks else parts[word]
-        for unit, encoding in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
-            known[unit] = array("I", encoding.ids).tobytes()
+        spelt = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        # The character that stands for each byte, for those in UTF-8 of the letters and the space.
+        alphabet = ["\ufffe"] * 256
+        for char in [" ", *(chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha()), *map(chr, range(0x21, 0x7F))]:
+            for byte, as_char in zip(char.encode(), spelt(char)[0][0], strict=True):
+                alphabet[byte] = as_char
+        self.alphabet = "".join(alphabet)
+        self.space = self.alphabet[0x20]
+
+    def _part_ids(self, part: str) -> bytes:
+        return array("I", [token.id for token in self.tokenize(part)]).tobytes()
+
+    def _unit_ids(self, unit: str) -> bytes:
+        """Words of plain letters and the marks after them go straight to the model; other units take the tokenizer's whole way."""
+        if unit.isascii():  # most units are one word of plain letters
+            if unit.isalpha():
+                return self.parts[unit if self.spaced else unit.lower()]
+            if unit[0] == " " and unit[1:].isalpha():
+                return self.parts[self.space + unit[1:]]
+        found = _PLAIN(unit)
+        if not found:
+            return array("I", self.tokenizer.encode_batch_fast([unit], add_special_tokens=False)[0].ids).tobytes()
+        marks = found[1]
+        word = unit[: -len(marks)] if marks else unit
+        if not self.spaced:
+            word = word.lower()
+        ids = self.parts[charmap_decode(word.encode(), "strict", self.alphabet)[0]]
+        return ids + self.parts[marks] if marks else ids
 
     def texts(self, texts: list[str]) -> list[bytes]:
         if self.find is None:
             found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             return [array("I", encoding.ids).tobytes() for encoding in found]
-        parts = [self.find(text) for text in texts]
-        new = self.known.missing(set().union(*parts))
-        known = self.known.now
-        self.learn(new, known)
-        out = [b"".join(map(known.__getitem__, units)) for units in parts]
-        for unit in [u for u in new if len(u) > LONGEST_REMEMBERED]:
-            del known[unit]
-        return out
+        find, ids = self.find, self.known.__getitem__
+        return [b"".join(map(ids, find(text))) for text in texts]
 
 
 def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
