@@ -1,18 +1,21 @@
 """Quality rules whose thresholds are certified by labelled holdouts; DataFrame functions only.
 
-Every rule rejects documents with a measure beyond a cutoff. On labelled good documents of a
-stratum, a cutoff is certified if the exact binomial (Clopper-Pearson) upper bound of its rate of
-false rejections stays below the allowed rate. Cutoffs of a rule are tested in a fixed order, from
-the one that rejects least, and testing stops at the first that fails, so one error level serves
-the whole order; the level is divided among the rules and strata (Bonferroni). The allowed rate is
-divided among the rules, so that all rules together reject at most that share of good documents in
-every stratum, with the stated confidence.
+Rules reject documents with a measure beyond a cutoff. All rules tighten together, through a fixed
+sequence of vectors with one cutoff per rule, from the one that rejects least. On labelled good
+documents of a stratum, a vector is certified if the exact binomial (Clopper-Pearson) upper bound
+of the share that any of its rules rejects stays below the allowed rate. Testing stops at the first
+vector that fails, so one error level serves the whole sequence, and no rate or level is divided
+among rules. The level is divided among the strata that are tested (Bonferroni); those with so few
+good documents that nothing could be certified are not tested. So the rules reject at most the
+allowed share of good documents in every stratum at once, with the stated confidence.
 
 Measures are taken row by row with array functions, so no text is shuffled.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,12 +32,12 @@ MOST_REPEATED_PERCENT = 20
 # Allowed share of rejected good documents per stratum, and the confidence in it.
 FALSE_REJECTIONS = 0.02
 CONFIDENCE = 0.95
-# Cutoffs per rule in thousandths, from the one that rejects least. A document is rejected above it.
+# Cutoffs per rule in thousandths; the n-th ones of all rules are the n-th vector that is tested.
 CUTOFFS = {
     "symbol_rate": [400, 300, 250, 200, 150, 120, 100, 80, 60, 50, 40, 30, 20, 15, 10, 5],
-    "dup_line_rate": [800, 600, 500, 400, 300, 250, 200, 150, 100, 50],
-    "repeat_rate": [200, 180, 160, 140, 120, 100, 80, 60, 40, 20],
-    "upper_rate": [900, 800, 700, 600, 500, 400, 300, 250, 200],
+    "dup_line_rate": [800, 700, 600, 550, 500, 450, 400, 350, 300, 250, 200, 180, 150, 120, 100, 50],
+    "repeat_rate": [200, 190, 180, 170, 160, 150, 140, 130, 120, 110, 100, 90, 80, 60, 40, 20],
+    "upper_rate": [900, 850, 800, 750, 700, 650, 600, 550, 500, 450, 400, 350, 300, 250, 225, 200],
 }
 
 
@@ -126,46 +129,38 @@ def certified_cutoffs(
     good: DataFrame, false_rejections: float = FALSE_REJECTIONS, confidence: float = CONFIDENCE,
     cutoffs: dict[str, list[int]] | None = None,
 ) -> DataFrame:
-    """(stratum, rule, cutoff): the strictest certified cutoff of each rule, none if none is.
+    """(stratum, rule, cutoff): the last certified vector of each stratum, none if none is.
 
     ``good`` has a row per labelled good document that the base rules keep: stratum and the rates.
-    Counts are taken per stratum, rule and cutoff, with partial sums before they are shuffled; what
-    is left is at most the number of cutoffs per stratum.
+    Rejections by any rule are counted per stratum and vector, with partial sums before they are
+    shuffled; what is left is a row per stratum. A null rate rejects nothing.
     """
     cutoffs = cutoffs or CUTOFFS
-    strata = good.select("stratum").distinct().count()
-    level = (1.0 - confidence) / max(1, strata * len(cutoffs))
-    allowed = false_rejections / len(cutoffs)
-    counts = [
-        F.count_if(F.col(rule) > cutoff).alias(f"{rule}_{step}")
-        for rule, steps in cutoffs.items()
-        for step, cutoff in enumerate(steps)
+    if len(set(map(len, cutoffs.values()))) != 1:
+        raise ValueError("every rule needs as many cutoffs as there are vectors")
+    vectors = list(zip(*cutoffs.values(), strict=True))
+    rejected = [
+        F.count_if(F.greatest(F.lit(False), *[F.col(rule) > at for rule, at in zip(cutoffs, vector, strict=True)]))
+        for vector in vectors
     ]
-    wide = good.groupBy("stratum").agg(F.count("*").alias("n"), *counts)
-    tests = F.array(
-        *[
-            F.struct(
-                F.lit(rule).alias("rule"), F.lit(step).alias("step"), F.lit(cutoff).alias("cutoff"),
-                F.col(f"{rule}_{step}").alias("k"),
-            )
-            for rule, steps in cutoffs.items()
-            for step, cutoff in enumerate(steps)
-        ]
-    )
-    each = wide.select("stratum", "n", F.explode(tests).alias("t")).select("stratum", "n", "t.*")
+    counts = good.groupBy("stratum").agg(F.count("*").alias("n"), F.array(*rejected).alias("rejected"))
+    # With fewer rows not even a vector that rejects none could pass at the whole level.
+    fewest = math.ceil(math.log(1.0 - confidence) / math.log1p(-false_rejections))
+    tested = materialise(counts.where(F.col("n") >= fewest), "quality-counts")
+    level = (1.0 - confidence) / max(1, tested.count())
+    each = tested.select("stratum", "n", F.posexplode("rejected").alias("step", "k"))
     # More rejections than the allowed rate expects can never be certified.
-    hopeless = F.col("k") > F.col("n") * F.lit(allowed)
-    tail = binomial_tail_log(F.col("n"), F.col("k"), allowed)
+    hopeless = F.col("k") > F.col("n") * F.lit(false_rejections)
+    tail = binomial_tail_log(F.col("n"), F.col("k"), false_rejections)
     passed = F.when(hopeless, F.lit(False)).otherwise(tail <= F.ln(F.lit(level)))
-    tested = each.withColumn("passed", passed)
     # Fixed order: everything before the first failure counts.
-    per_rule = tested.groupBy("stratum", "rule").agg(
-        F.min(F.when(~F.col("passed"), F.col("step"))).alias("first_failure"),
-        F.collect_list(F.struct("step", "cutoff")).alias("steps"),
-    )
-    reached = F.filter("steps", lambda s: F.col("first_failure").isNull() | (s["step"] < F.col("first_failure")))
-    best = F.array_max(reached)["cutoff"]
-    return per_rule.select("stratum", "rule", best.alias("cutoff")).where("cutoff is not null")
+    first_failure = F.min(F.when(~passed, F.col("step")))
+    last = each.groupBy("stratum").agg((F.coalesce(first_failure, F.lit(len(vectors))) - 1).alias("last")).where("last >= 0")
+    of_rules = [
+        F.struct(F.lit(rule).alias("rule"), F.get(F.array(*map(F.lit, steps)), F.col("last")).alias("cutoff"))
+        for rule, steps in cutoffs.items()
+    ]
+    return last.select("stratum", F.explode(F.array(*of_rules)).alias("at")).select("stratum", "at.*")
 
 
 def apply_rules(

@@ -209,6 +209,61 @@ def test_cutoffs_stop_at_the_first_that_fails(spark):
     assert [tuple(r) for r in cut.collect()] == [("a", "rate", 20)]
 
 
+def test_cutoffs_of_all_rules_share_the_allowed_rate(spark):
+    # 217 rows without a rejection are the fewest that two strata need: 0.98 ** 217 < 0.05 / 2 < 0.98 ** 182.
+    rows = [(s, 0, 3 if s == "b" and i < 20 else 0) for s in "ab" for i in range(217)] + [("c", 0, 0)] * 100
+    good = spark.createDataFrame(rows, "stratum string, x bigint, y bigint")
+    cut = quality_rules.certified_cutoffs(good, 0.02, 0.95, {"x": [9, 8, 1], "y": [9, 4, 2]})
+    assert sorted(map(tuple, cut.collect())) == [("a", "x", 1), ("a", "y", 2), ("b", "x", 8), ("b", "y", 4)]
+    with pytest.raises(ValueError):
+        quality_rules.certified_cutoffs(good, cutoffs={"x": [1], "y": [2, 1]})
+
+
+def test_no_stratum_of_many_gets_a_cutoff_that_rejects_too_many(spark):
+    # Of each stratum a vector rejects 0.5, 1, 2.1 and 4 % in truth; 2 % is allowed.
+    good = spark.range(0, 600_000, 1, 4).select((F.col("id") % 300).alias("stratum"), F.floor(1000 * F.rand(7)).alias("rate"))
+    cut = quality_rules.certified_cutoffs(good, 0.02, 0.95, {"rate": [994, 989, 978, 959]}).collect()
+    assert len(cut) >= 290 and {r["cutoff"] for r in cut} <= {994, 989}
+
+
+def test_verdicts_match_brute_force(spark):
+    rng = random.Random(11)
+    words = "alpha beta Gamma DELTA eps# zeta eta theta iota kappa lambda mu nu xi".split()
+
+    def text(bad):
+        lines = [" ".join(rng.choice(words[: 14 if bad else 12]) + ("$$" if rng.random() < bad else "") for _ in range(6)) for _ in range(4)]
+        return "\n".join(lines + lines[:1] * (rng.random() < bad))
+
+    rows = [(i, text(rng.choice([0, 0, 0, 0.3]) if i % 7 else 0.6), ("aa", "bb", None)[i % 3]) for i in range(1800)]
+    quality = {i: int(rng.random() < 0.9) for i, t, _ in rows if "$$" not in t or rng.random() < 0.02}
+    labels = spark.createDataFrame(list(quality.items()), "doc_id bigint, quality int")
+
+    def rates(t):
+        n, chars, symbols, dup_lines, repeats = brute_measures(t)
+        lines, upper = t.count("\n") + 1, len(re.findall("[A-Z]", t))
+        return n < 10 or 100 * repeats > 20 * n, [
+            1000 * symbols // chars, 1000 * dup_lines // lines, 1000 * repeats // n, 1000 * upper // chars,
+        ]
+
+    judged = {i: (lang, *rates(t)) for i, t, lang in rows}
+    vectors = list(zip(*[quality_rules.CUTOFFS[r] for r in ("symbol_rate", "dup_line_rate", "repeat_rate", "upper_rate")], strict=True))
+    good = {lang: [x for i, (at, failed, x) in judged.items() if at == lang and not failed and quality.get(i) == 1] for lang in ("aa", "bb", None)}
+    good = {lang: xs for lang, xs in good.items() if 0.98 ** len(xs) <= 0.05}
+    limits = {}
+    for lang, xs in good.items():
+        for vector in vectors:
+            k = sum(any(a > b for a, b in zip(x, vector, strict=True)) for x in xs)
+            if sum(math.comb(len(xs), i) * 0.02**i * 0.98 ** (len(xs) - i) for i in range(k + 1)) > 0.05 / len(good):
+                break
+            limits[lang] = vector
+    expected = {
+        i: not failed and not any(a > b for a, b in zip(x, limits.get(lang, [1000] * 4), strict=True)) for i, (lang, failed, x) in judged.items()
+    }
+    assert limits and 0 < sum(1 for i, k in expected.items() if not k and not judged[i][1])
+    out = quality_rules.apply_rules(frame(spark, rows), labels).collect()
+    assert {r["doc_id"]: r["kept"] for r in out} == expected
+
+
 def test_rules_keep_clean_rows_and_cover_all(spark):
     good = [(i, f"clean words number {i} that go on for a while and never repeat at all", "aa") for i in range(1500)]
     bad = [(2000 + i, f"odd### {i}*** words%%% that&&& carry$$$ signs### on*** all&&& of%%% them$$$ now###", "aa") for i in range(20)]
