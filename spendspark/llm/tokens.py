@@ -18,9 +18,12 @@ from array import array
 from codecs import charmap_decode
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 
+from spendspark.llm import bpe
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Fixed value: the characters with the Unicode property White_Space.
@@ -59,8 +62,8 @@ KINDS = {
 REMEMBERED = 300_000
 # Longer units (and unbroken texts) are encoded each time.
 LONGEST_REMEMBERED = 64
-# Characters that are split at a time.
-CHARS_AT_ONCE = 1_000_000
+# Characters that are encoded at a time: distinct words are encoded once among them.
+CHARS_AT_ONCE = 4_000_000
 
 
 def kind_of(path: str) -> str | None:
@@ -127,6 +130,19 @@ class _Units:
                 alphabet[byte] = as_char
         self.alphabet = "".join(alphabet)
         self.space = self.alphabet[0x20]
+        self.words = self._words(path) if self.kind else None
+
+    def _words(self, path: str) -> bpe.Words:
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
+        pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
+        made = bpe.Merges(
+            np.array([(vocab[a], vocab[b]) for a, b in pairs], dtype=np.int64).reshape(-1, 2),
+            np.array([vocab[a + b] for a, b in pairs], dtype=np.int64),
+        )
+        first, last = (np.array([vocab.get(c + end, -1) for c in self.alphabet]) for end in ("", suffix))
+        return bpe.Words(made, first, last, self.spaced, self.known.__getitem__)
 
     def _part_ids(self, part: str) -> bytes:
         return array("I", [token.id for token in self.tokenize(part)]).tobytes()
@@ -152,8 +168,16 @@ class _Units:
         if self.find is None:
             found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             return [array("I", encoding.ids).tobytes() for encoding in found]
-        find, ids = self.find, self.known.__getitem__
-        return [b"".join(map(ids, find(text))) for text in texts]
+        raw = [text.encode() for text in texts]
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        if bpe.has_wide_space(data):
+            # Texts that may hold white space beyond ASCII are cut by the pattern.
+            wide = [bpe.has_wide_space(np.frombuffer(text, np.uint8)) for text in raw]
+            others = iter(self.texts([text for text, w in zip(texts, wide, strict=True) if not w]) if not all(wide) else [])
+            find, ids = self.find, self.known.__getitem__
+            return [b"".join(map(ids, find(text))) if w else next(others) for text, w in zip(texts, wide, strict=True)]
+        ids, at = self.words.texts(data, np.cumsum([0, *map(len, raw)]))
+        return [ids[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
 def encoder(path: str) -> Callable[[list[str]], list[bytes]]:

@@ -83,3 +83,23 @@ def test_any_other_tokenizer_encodes_whole_texts(tmp_path, number):
     texts = ["Paris is BIG", "paris is big", "big big bad", "", *ODD]
     got = [np.frombuffer(ids, "<u4").tolist() for ids in tokens.encoder(path)(texts)]
     assert got == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+def test_many_words_at_once():
+    rng = random.Random(3)
+    letters = "aaeeiioonrstlcdmpuABÉéüßñÿþÀ"
+
+    def unit():
+        word = "".join(rng.choice(letters) for _ in range(rng.choice([1, 2, 3, 5, 7, 9, 12, 15, 23, 24, 25, 40])))
+        return rng.choice([" ", " ", " ", "", "\n", "  ", " \t"]) + word + rng.choice(["", "", "", ".", ",.", "$$$", "'s", "3", "÷", "’"])
+
+    texts = ["".join(unit() for _ in range(rng.randint(0, 200))) for _ in range(200)]
+    check(texts)
+    # Texts with white space beyond ASCII stand between others.
+    check([text + rng.choice(["", " ", "   x", "\x85y"]) for text in texts])
+    check(["", *texts[:3], ""])
+    check([])
+
+
+def test_repeated_and_long_words():
+    check(["a" * n for n in range(30)] + [" " + "ab" * n + "!" * n for n in range(20)] + ["É" * n + " ééé" * n for n in range(14)])
