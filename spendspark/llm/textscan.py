@@ -165,8 +165,9 @@ class Runs:
             first = np.cumsum(size) - size
             place = np.arange(first[-1] + size[-1]) - np.repeat(first, size)
             numbers = _PLACED_VALUES[place % PLACES_APART, _FOLD[self.data[np.repeat(start, size) + place]]]
-            if size.max() > PLACES_APART:
-                numbers = mix(numbers + (place // PLACES_APART).astype(np.uint64) * np.uint64(_MULTIPLIER))
+            # Only bytes of further blocks: a word's hash must not follow from the words it is hashed with.
+            if len(far := np.flatnonzero(place >= PLACES_APART)):
+                numbers[far] = mix(numbers[far] + (place[far] // PLACES_APART).astype(np.uint64) * np.uint64(_MULTIPLIER))
             out[lo:hi] = np.add.reduceat(numbers, first) + size.astype(np.uint64) * np.uint64(_MULTIPLIER)
             lo = hi
         return mix(out)

@@ -33,6 +33,17 @@ def test_every_place_and_byte_counts():
     assert len(set(hashes[:-1].tolist())) == len(words) and hashes[-1] == hashes[0]
 
 
+def test_a_hash_does_not_depend_on_the_words_beside_it(spark):
+    long, text = "x" * 40, " ".join(f"w{i}" for i in range(30))
+    alone = textscan.Runs(*textscan.text_bytes(pa.array([text])), ~textscan.IS_SPACE).strong_hashes()
+    beside = textscan.Runs(*textscan.text_bytes(pa.array([text, long])), ~textscan.IS_SPACE).strong_hashes()
+    assert (alone == beside[:-1]).all()
+    rows = [(1, text), (2, text + " " * textscan.SLICE_BYTES), (3, long)]  # slices of their own
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    found = {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(docs, k=4, percent=80).collect()}
+    assert found == {1: 1, 2: 1, 3: 3}
+
+
 @pytest.mark.parametrize("n", [0, 1, 100, 4999, 5000, 9000])
 def test_samples_are_the_smallest_hashes_for_any_partitioning(spark, n):
     rows = spark.range(5000).select("id", (F.col("id") % 7).alias("label"))
