@@ -142,3 +142,25 @@ def test_hash_unit_is_uniform_and_repeatable(spark):
     assert draws.repartition(3).agg(F.sum(F.col("u").cast("decimal(38,20)"))).first() == draws.agg(
         F.sum(F.col("u").cast("decimal(38,20)"))
     ).first()
+
+
+@pytest.mark.parametrize("low, high", [(1, 3), (1, 5), (0, 0), (3, 9)])
+def test_few_values_by_comparing_digits(spark, low, high):
+    n = high - low + 1
+    units = {0, (1 << 52) - 1} | {min(max(i * (1 << 52) // n + d, 0), (1 << 52) - 1) for i in range(n + 1) for d in (-1, 0, 1)}
+    rows = spark.createDataFrame([(f"{u:013x}",) for u in units], "digits string").union(
+        spark.range(2000).select(numeric.hash_digits(F.col("id")))
+    )
+    plain = F.floor(numeric.unit_of(F.col("digits")) * n) + low
+    assert rows.where(numeric.uniform_of(F.col("digits"), low, high) != plain).isEmpty()
+    assert numeric.least_digits(lambda unit: unit >= 2) > "f" * 13
+
+
+def test_a_draw_for_a_user_is_made_before_its_days(spark):
+    from spendspark.sources import synthetic
+
+    users = synthetic.demo_users(spark, 3)
+    for tx in (synthetic.seasonal_transactions(users), synthetic.outlier_transactions(users)):
+        plan = tx._jdf.queryExecution().executedPlan().toString()
+        above, below = plan.split("Generate", 1)
+        assert "base)" not in above and "base)" in below and "conv(" not in below.split("explode", 1)[1].split("\n")[0]
