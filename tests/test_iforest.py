@@ -164,3 +164,8 @@ def test_too_little_data(spark, tx, tmp_path):
 def test_injected_outliers_are_flagged_more_often(spark):
     found = {r["is_injected"]: r["n_flagged"] / r["n"] for r in QUERIES["iforest_detection"](spark, SMALL).collect()}
     assert found[True] > 3 * found[False]
+
+
+def test_marks_of_injected_outliers_are_not_joined_back(spark):
+    found = QUERIES["iforest_detection"](spark, SMALL)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
