@@ -1,6 +1,7 @@
 """Boosted trees as a node table, against MLlib's own scoring and a walk node by node."""
 
 import math
+import pickle
 
 import numpy as np
 import pytest
@@ -94,3 +95,13 @@ def test_weekly_fit_stops_after_patience(spark):
     seqs = materialise(seqs.withColumn("target_week", F.to_date("target_week")), "seqs")
     fitted = training.fit_weekly(seqs, maxIter=20)
     assert fitted.model.trees == fitted.metrics["trees_kept"] <= 15
+
+
+def test_partitions_of_a_fit_do_not_grow_with_every_few_rows():
+    assert [training.partitions_for(n) for n in (0, 1, 50_000, 50_001, 2_400_000, 48_000_000, 48_000_001)] == [1, 1, 1, 2, 48, 48, 49]
+    assert training.partitions_for(91_000_000) == 91
+
+
+def test_a_broadcast_ensemble_needs_no_package(fitted):
+    _, model = fitted
+    assert b"spendspark" not in pickle.dumps(model.flat.value)
