@@ -1,0 +1,116 @@
+"""Boosted trees by passes over binned rows, against MLlib's trees and for any order of the rows."""
+
+import os
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from spendspark.operators import boosting
+from spendspark.plans import training
+from spendspark.session import materialise, shared_folder
+
+INPUTS = ["a", "b", "c"]
+PARAMS = {"maxIter": 7, "stepSize": 0.3, "maxDepth": 4, "maxBins": 255, "seed": 5}
+
+
+@pytest.fixture(scope="module")
+def points(spark):
+    a, b, c = (F.floor(F.rand(seed) * n) / 4 for seed, n in ((1, 40), (2, 90), (3, 7)))
+    x = spark.range(5000).select("id", a.alias("a"), (b - 9).alias("b"), c.alias("c"))
+    y = 3 * F.col("a") + F.when(F.col("b") > 2, F.col("c")).otherwise(-5.0) + F.rand(4)
+    return materialise(x.withColumn("y", y), "points")
+
+
+def grown(rows, rounds=7, partitions_for=training.partitions_for, **params):
+    fit = boosting.Boosting(rows, INPUTS, "y", ["id"], partitions_for, {**PARAMS, **params})
+    fit.grow(rounds)
+    fit.close()
+    return fit
+
+
+def test_trees_equal_those_of_the_library(points):
+    pipeline = training._boosted(INPUTS, "y", PARAMS).fit(points)
+    fit = grown(points)
+    both = fit.ensemble().transform(pipeline.transform(points).withColumnRenamed("prediction", "wanted"))
+    assert both.agg(F.max(F.abs(F.col("prediction") - F.col("wanted")))).first()[0] < 1e-6
+    assert len(fit.nodes) == sum(t.numNodes for t in pipeline.stages[-1].trees)
+    assert fit.importances() == pytest.approx(training.importances(pipeline), abs=1e-6)
+
+
+def test_trees_depend_on_the_rows_alone(points):
+    drawn = {"subsamplingRate": 0.8, "featureSubsetStrategy": "0.6"}
+    one = grown(points.coalesce(1), partitions_for=lambda n: 1, **drawn)
+    many = grown(points.orderBy(F.rand(9)).repartition(7), partitions_for=lambda n: 5, **drawn)
+    assert one.nodes == many.nodes and len({n[0] for n in one.nodes}) == 7
+    assert one.nodes != grown(points).nodes
+
+
+def test_a_fit_goes_on_and_keeps_few_files(spark, points):
+    whole = grown(points, 2 * boosting.STORED_EVERY + 3, maxDepth=2)
+    fit = boosting.Boosting(points, INPUTS, "y", ["id"], training.partitions_for, {**PARAMS, "maxDepth": 2})
+    for rounds in (4, boosting.STORED_EVERY + 1, 2 * boosting.STORED_EVERY + 3):
+        fit.grow(rounds)
+    files = fit.state.context._jvm.java.io.File
+    stored = [s.getCheckpointFile() for s in [*fit.stored, *fit.before] if s.isCheckpointed()]
+    assert fit.nodes == whole.nodes and len(stored) <= 1
+    fit.close()
+    assert not any(files(path.removeprefix("file:")).exists() for path in stored)
+    assert os.path.isdir(shared_folder(spark))
+
+
+def test_a_round_is_one_pass_for_each_level(spark, points):
+    sc, rounds = spark.sparkContext, 5
+    fit = boosting.Boosting(points, INPUTS, "y", ["id"], training.partitions_for, PARAMS)
+    sc.setJobGroup("rounds", "rounds of a fit")
+    fit.grow(rounds)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    # One more stores the residuals.
+    assert len(sc.statusTracker().getJobIdsForGroup("rounds")) <= rounds * PARAMS["maxDepth"] + 1
+    fit.close()
+
+
+def test_more_tasks_than_the_driver_takes(points, monkeypatch):
+    wanted = grown(points, 2).nodes
+    monkeypatch.setattr(boosting, "TASKS_TO_DRIVER", 1)
+    assert grown(points, 2, partitions_for=lambda n: 6).nodes == wanted
+
+
+def test_cuts_of_many_values_hold_about_as_many_rows(spark):
+    rows = spark.range(30_000).select(F.exp(F.randn(1) * 5).alias("x"), (1e9 + F.rand(2)).alias("y"), F.lit(3.0).alias("z"))
+    rows = materialise(rows, "values")
+    cuts = boosting.find_cuts(rows, boosting.first_cells(rows, 3), 255)
+    for name, cut in zip("xy", cuts):
+        values = rows.select(name).toPandas()[name].to_numpy()
+        filled = np.bincount(np.searchsorted(cut, values), minlength=len(cut) + 1)
+        assert 240 <= len(cut) <= 254 and filled.max() < 3 * 30_000 / 255
+    assert len(cuts[2]) == 0
+
+
+def test_few_values_are_cut_between_all(spark):
+    values = [-3.0, -0.0, 0.0, 0.5, 1e-300, 7.0, float("inf")]
+    rows = spark.createDataFrame([(v,) for v in values], "x double")
+    (cuts,) = boosting.find_cuts(rows, boosting.first_cells(rows, 1), 255)
+    assert [int(i) for i in np.searchsorted(cuts, sorted(values))] == [0, 1, 1, 2, 3, 4, 5]
+
+
+def test_the_share_of_drawn_rows():
+    hashes = np.random.default_rng(1).integers(0, 2**32, 100_000, dtype=np.uint32)
+    one, two = (boosting.drawn(hashes, tree, 0.8) for tree in (1, 2))
+    assert one.mean() == pytest.approx(0.8, abs=0.01) and (one & two).mean() == pytest.approx(0.64, abs=0.01)
+    assert boosting.drawn(hashes, 1, 1.0) is None
+
+
+@pytest.mark.parametrize("a, y", [(None, 1.0), (float("nan"), 1.0), (1.0, None), (1.0, float("inf"))])
+def test_rows_that_cannot_be_fitted(spark, a, y):
+    rows = spark.createDataFrame([(1, a, 1.0, 1.0, y), (2, 2.0, 1.0, 1.0, 2.0)], "id int, a double, b double, c double, y double")
+    with pytest.raises(Exception, match="missing|not finite"):
+        grown(rows)
+    with pytest.raises(ValueError, match="no rows"):
+        grown(rows.where("id > 5"))
+
+
+def test_a_constant_target_is_one_leaf(spark):
+    rows = spark.range(40).select("id", *[F.rand(i).alias(n) for i, n in enumerate(INPUTS)], F.lit(2.5).alias("y"))
+    nodes = grown(materialise(rows, "constant"), 3).nodes
+    assert [(n[0], n[2], n[6]) for n in nodes] == [(0, -1, 2.5), (1, -1, 0.0), (2, -1, 0.0)]
