@@ -4,11 +4,13 @@ import os
 
 import numpy as np
 import pytest
+from conftest import SMALL
 from pyspark.sql import functions as F
 
-from spendspark.operators import boosting
+from spendspark.operators import boosting, monthly
 from spendspark.plans import training
 from spendspark.session import materialise, shared_folder
+from spendspark.sources.adapters import tx_lineitem
 
 INPUTS = ["a", "b", "c"]
 PARAMS = {"maxIter": 7, "stepSize": 0.3, "maxDepth": 4, "maxBins": 255, "seed": 5}
@@ -114,3 +116,16 @@ def test_a_constant_target_is_one_leaf(spark):
     rows = spark.range(40).select("id", *[F.rand(i).alias(n) for i, n in enumerate(INPUTS)], F.lit(2.5).alias("y"))
     nodes = grown(materialise(rows, "constant"), 3).nodes
     assert [(n[0], n[2], n[6]) for n in nodes] == [(0, -1, 2.5), (1, -1, 0.0), (2, -1, 0.0)]
+
+
+def nodes_of(fitted):
+    return sorted(map(tuple, fitted.model.nodes.collect()))
+
+
+def test_category_trees_do_not_depend_on_partitions(spark, monkeypatch):
+    tx = tx_lineitem(spark, SMALL)
+    rows = materialise(monthly.training_rows(monthly.monthly_features(tx)), "rows")
+    one = training.fit_category(rows, maxIter=3)
+    monkeypatch.setattr(training, "partitions_for", lambda n: 6)
+    many = training.fit_category(rows.repartition(5), maxIter=3)
+    assert nodes_of(one) == nodes_of(many)
