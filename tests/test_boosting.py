@@ -7,7 +7,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from spendspark.operators import boosting, monthly
+from spendspark.operators import boosting, monthly, weekly
 from spendspark.plans import training
 from spendspark.session import materialise, shared_folder
 from spendspark.sources.adapters import tx_lineitem
@@ -129,3 +129,15 @@ def test_category_trees_do_not_depend_on_partitions(spark, monkeypatch):
     monkeypatch.setattr(training, "partitions_for", lambda n: 6)
     many = training.fit_category(rows.repartition(5), maxIter=3)
     assert nodes_of(one) == nodes_of(many)
+
+
+@pytest.fixture(scope="module")
+def seqs(spark):
+    return materialise(weekly.active_sequences(weekly.weekly_spend(tx_lineitem(spark, SMALL))), "seqs")
+
+
+def test_a_weekly_fit_grows_no_tree_twice(seqs, monkeypatch):
+    grow, trees = boosting.Boosting._grow_tree, []
+    monkeypatch.setattr(boosting.Boosting, "_grow_tree", lambda fit: (trees.append(fit.trees), grow(fit)))
+    fitted = training.fit_weekly(seqs, patience=1, maxIter=7)
+    assert trees == list(range(len(trees))) and fitted.model.trees <= len(trees) <= 7
