@@ -141,3 +141,10 @@ def test_a_weekly_fit_grows_no_tree_twice(seqs, monkeypatch):
     monkeypatch.setattr(boosting.Boosting, "_grow_tree", lambda fit: (trees.append(fit.trees), grow(fit)))
     fitted = training.fit_weekly(seqs, patience=1, maxIter=7)
     assert trees == list(range(len(trees))) and fitted.model.trees <= len(trees) <= 7
+
+
+def test_weekly_trees_do_not_depend_on_partitions(seqs, monkeypatch):
+    one = training.fit_weekly(seqs, maxIter=4)
+    monkeypatch.setattr(training, "partitions_for", lambda n: 6)
+    many = training.fit_weekly(seqs.orderBy(F.rand(3)).repartition(5), maxIter=4)
+    assert nodes_of(one) == nodes_of(many)
