@@ -169,3 +169,50 @@ def test_injected_outliers_are_flagged_more_often(spark):
 def test_marks_of_injected_outliers_are_not_joined_back(spark):
     found = QUERIES["iforest_detection"](spark, SMALL)
     assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tabulated_paths_equal_a_walk_level_by_level():
+    rng = np.random.default_rng(3)
+    columns = [rng.normal(size=4000), rng.integers(0, 7, 4000).astype(float), np.exp(3 * rng.normal(size=4000)), np.full(4000, 2.0)]
+    rows = np.array(columns).T
+    nodes = [(t, *node) for t in range(30) for node in trees.grow(rows[rng.choice(4000, 256, replace=False)], 42, t, 8)]
+    # One more tree is a single leaf.
+    packed = trees.pack([*nodes, (30, *trees.grow(np.ones((9, 4)), 42, 30, 8)[0])], 31, 8)
+    cuts, tables = trees.tabulate(*packed, 4)
+    columns[0][:200] = cuts[0][:200]
+    for i, value in enumerate((np.nan, np.inf, -np.inf)):
+        for column in columns:
+            column[300 + 50 * i : 340 + 50 * i] = value
+    assert np.array_equal(trees.tabulated_mean_path(columns, cuts, tables), trees.mean_path(columns, *packed, 8))
+
+
+@pytest.mark.parametrize("limit", ["MOST_ENTRIES", "MOST_ENTRIES_OF_ALL"])
+def test_a_forest_too_large_for_tables_scores_the_same(points, forest, monkeypatch, limit):
+    monkeypatch.setattr(trees, limit, 1000)
+    walked = iforest.Forest(forest.nodes, forest.feature_cols, forest.trees, forest.sample_size)
+    assert walked.packed.value[0] is None and forest.packed.value[0] is not None
+    both = points.select(forest.score(F.col("a"), F.col("b")).alias("one"), walked.score(F.col("a"), F.col("b")).alias("two"))
+    assert both.where("one <> two").isEmpty()
+
+
+def test_few_wanted_hashes_are_looked_up(spark, monkeypatch):
+    rows = spark.range(60_000).select("id", F.rand(3).alias("a"))
+    wanted = {tuple(r) for r in iforest.tree_samples(rows, ["id", "a"], 60_000, n_trees=4, size=5).collect()}
+    # As if there were so many rows that few hashes are wanted.
+    monkeypatch.setattr(iforest, "MOST_WANTED", 10**9)
+    hashed = iforest._few_hashed
+    found = []
+    monkeypatch.setattr(iforest, "_few_hashed", lambda *a: found.append(hashed(*a)) or found[-1])
+    assert {tuple(r) for r in iforest.tree_samples(rows, ["id", "a"], 60_000, n_trees=4, size=5).collect()} == wanted
+    assert found[0] is not None and len(wanted) == 20
+
+
+def test_wanted_hashes_are_those_below_the_share(spark):
+    factors, summands = iforest.tree_maps(3)
+    limit = 40_000
+    for r in iforest.wanted_hashes(spark, (limit + 0.5) / iforest.HASH_PRIME, 3).orderBy(F.rand(1)).limit(500).collect():
+        order = int(r["wanted"], 16)
+        assert len(r["wanted"]) == 7 and order < 1 << 28 and r["hash"] < limit
+        assert (order * int(factors[r["tree"]]) + int(summands[r["tree"]])) % iforest.HASH_PRIME == r["hash"]
+    n = iforest.wanted_hashes(spark, (limit + 0.5) / iforest.HASH_PRIME, 3).count()
+    assert n == pytest.approx(3 * limit / 8, rel=0.05)
