@@ -178,12 +178,25 @@ def test_tabulated_paths_equal_a_walk_level_by_level():
     nodes = [(t, *node) for t in range(30) for node in trees.grow(rows[rng.choice(4000, 256, replace=False)], 42, t, 8)]
     # One more tree is a single leaf.
     packed = trees.pack([*nodes, (30, *trees.grow(np.ones((9, 4)), 42, 30, 8)[0])], 31, 8)
-    cuts, tables = trees.tabulate(*packed, 4)
+    cuts, order, tables = trees.tabulate(*packed, 4)
     columns[0][:200] = cuts[0][:200]
     for i, value in enumerate((np.nan, np.inf, -np.inf)):
         for column in columns:
             column[300 + 50 * i : 340 + 50 * i] = value
-    assert np.array_equal(trees.tabulated_mean_path(columns, cuts, tables), trees.mean_path(columns, *packed, 8))
+    assert np.array_equal(trees.tabulated_mean_path(columns, cuts, order, tables), trees.mean_path(columns, *packed, 8))
+    assert 1 <= len(trees._groups([np.searchsorted(c, v) for c, v in zip(cuts, columns)], cuts, order)[0]) < 4
+
+
+def test_scores_of_many_and_of_no_rows(spark, points, forest, monkeypatch):
+    monkeypatch.setattr(iforest, "SCORED_AT_ONCE", 700)
+    score = forest.score(F.col("a"), F.col("b")).alias("score")
+    scored = points.coalesce(1).select("id", "a", "b", score)
+    one_by_one = trees.tabulated_mean_path([np.array(scored.toPandas()[c]) for c in "ab"], *forest.packed.value[0])
+    wanted = -np.power(2.0, -one_by_one / trees.average_path(256))
+    assert np.array_equal(np.array(scored.toPandas()["score"]), wanted)
+    assert points.where("id < 0").select(score).count() == 0
+    one = iforest.fit(points, ["a"], ["id"], n_trees=3)
+    assert points.select(one.score(F.col("a")).alias("score")).where("score between -1 and 0").count() == 3010
 
 
 @pytest.mark.parametrize("limit", ["MOST_ENTRIES", "MOST_ENTRIES_OF_ALL"])
